@@ -17,8 +17,8 @@ from lateline.operators import quality
 from lateline.operators.marts import Marts
 from lateline.operators.observations import dedup_latest, enrich
 from lateline.operators.staging import stage_observations, union_sources
-from lateline.sources.bronze import bronze_path, land_month, land_months, scan_nanos_parquet, with_provenance
-from lateline.sources.raw import load_raw, read_raw, write_raw
+from lateline.sources.bronze import bronze_path, land_month, land_months, read_landed, scan_nanos_parquet
+from lateline.sources.raw import load_raw, read_raw, replace_months, write_raw
 from lateline.workspace import configure
 
 
@@ -69,18 +69,6 @@ def require(audited: DataFrame) -> None:
         raise CheckFailed("; ".join(f"{r.table_name} {r.check}: {r.failing_rows}" for r in failed))
 
 
-def _replace_months(model: DataFrame, path: str, month: str) -> DataFrame:
-    """Swaps the folders of the months in the model and keeps the rest."""
-    (
-        model.hint("rebalance", month)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(month)
-        .parquet(path)
-    )
-    return model.sparkSession.read.schema(model.schema).parquet(path)
-
-
 def _replace(model: DataFrame, path: str) -> DataFrame:
     model.write.mode("overwrite").parquet(path)
     return model.sparkSession.read.parquet(path)
@@ -104,15 +92,21 @@ def build_layers(
 
     unioned = union_sources(monthly=staged)
     require(quality.audit(unioned, "unioned"))
+
+    def stored(model: DataFrame, name: str, month: str) -> DataFrame:
+        path = store.table(name)
+        replace_months(model, month, path, many=months is None or len(months) > 1)
+        return spark.read.schema(model.schema).parquet(path)
+
     fresh = enrich(dedup_latest(unioned), cutover=cutover)
-    enriched = _replace_months(fresh, store.table("int_observations_enriched"), "source_month")
+    enriched = stored(fresh, "int_observations_enriched", "source_month")
     rebuilt = enriched if months is None else enriched.where(F.col("source_month").isin(months))
     require(quality.audit(rebuilt, "deduped"))
     require(quality.audit(rebuilt, "enriched"))
 
     names = ("mart_monthly_station_perf", "mart_monthly_line_perf")
     station_perf, line_perf = [
-        _replace_months(getattr(mart_models, name)(rebuilt), store.table(name), "service_month") for name in names
+        stored(getattr(mart_models, name)(rebuilt), name, "service_month") for name in names
     ]
     built = Marts(
         station_perf,
@@ -162,7 +156,7 @@ def backfill(
     """
     spark = configure(observations.sparkSession)
     land_months(observations, file_month, store.bronze)
-    filed = with_provenance(scan_nanos_parquet(spark, store.bronze))
+    filed = read_landed(spark, store.bronze)
     gated = quality.gate_all_months(filed)
     failed = [r.month for r in gated.where(~F.col("passed")).select("month").collect()]
     if failed:

@@ -12,7 +12,7 @@ from lateline.operators.marts import Marts
 from lateline.operators.observations import dedup_latest, enrich
 from lateline.operators.staging import stage_observations, union_sources
 from lateline.registry import adapter
-from lateline.sources.bronze import land_months, scan_nanos_parquet, with_provenance
+from lateline.sources.bronze import land_months, read_landed, scan_nanos_parquet
 from lateline.sources.raw import derive_source_month
 from lateline.workspace import Workspace, configure
 
@@ -34,10 +34,10 @@ class Shop:
     def landed(self) -> DataFrame:
         return scan_nanos_parquet(self.spark, self.bronze_root)
 
-    @property
+    @cached_property
     def filed(self) -> DataFrame:
         """Landed rows with the month their file stands for."""
-        return with_provenance(self.landed)
+        return read_landed(self.spark, self.bronze_root)
 
     @property
     def raw(self) -> DataFrame:

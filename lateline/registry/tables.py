@@ -43,7 +43,9 @@ register("scan_nanos_parquet", lambda s: s.landed, f"SELECT {CONTRACT} FROM file
 
 register(
     "scan_months_with_provenance",
-    lambda s: s.filed.groupBy("source_month").agg(
+    lambda s: bronze.with_provenance(s.landed)
+    .groupBy("source_month")
+    .agg(
         F.count("*").alias("row_count"),
         F.min("time").alias("minimum_time"),
         F.max("time").alias("maximum_time"),

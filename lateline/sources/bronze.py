@@ -6,8 +6,9 @@ from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from lateline.contract import OBSERVATION_COLUMNS
+from lateline.contract import OBSERVATION_COLUMNS, OBSERVATION_SCHEMA
 from lateline.functions.months import check_month
 from lateline.workspace import configure, path_exists
 
@@ -55,6 +56,18 @@ def with_provenance(scan: DataFrame) -> DataFrame:
     )
 
 
+def read_landed(spark: SparkSession, root: str) -> DataFrame:
+    """All landed months, each row with the month of its folder.
+
+    The folder names are partition columns here: they cost no work per row, and a filter on the month leaves the
+    folders of other months unread. They are declared as strings to keep leading zeros.
+    """
+    folders = [T.StructField("year", T.StringType()), T.StructField("month", T.StringType())]
+    schema = T.StructType([*OBSERVATION_SCHEMA.fields, *folders])
+    landed = configure(spark).read.schema(schema).parquet(root)
+    return landed.select(*OBSERVATION_COLUMNS, F.concat_ws("-", "year", "month").alias("source_month"))
+
+
 def file_sizes(spark: SparkSession, *paths: str) -> DataFrame:
     """Size by month from a file listing; the content column is never selected, so no file is opened."""
     listing = (

@@ -36,23 +36,28 @@ def read_raw(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(RAW_SCHEMA).parquet(root)
 
 
-def write_raw(observations: DataFrame, root: str) -> None:
-    """Replaces the months present in ``load_month`` and leaves the others alone.
+def replace_months(table: DataFrame, by: str, root: str, *, many: bool) -> None:
+    """Replaces the folders of the months in the table and leaves the others alone.
 
-    The table is cut by loaded month because ``source_month`` follows the row's time: a file with stray rows would
-    otherwise replace a neighbouring month. Dynamic overwrite swaps folders only when the whole job has committed.
+    Dynamic overwrite swaps folders only when the whole job has committed. For many months the rows are rebalanced by
+    month first, so that tasks x months small files do not come out; one month needs no such shuffle.
     """
     (
-        derive_source_month(observations)
-        .select(*OBSERVATION_COLUMNS, "source_month", "load_month")
-        .hint("rebalance", "load_month")
+        (table.hint("rebalance", by) if many else table)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("load_month")
+        .partitionBy(by)
         .parquet(root)
     )
 
 
+def write_raw(observations: DataFrame, root: str, *, many: bool = True) -> None:
+    """The table is cut by loaded month because ``source_month`` follows the row's time: a file with stray rows would
+    otherwise replace a neighbouring month."""
+    rows = derive_source_month(observations).select(*OBSERVATION_COLUMNS, "source_month", "load_month")
+    replace_months(rows, "load_month", root, many=many)
+
+
 def count_month(spark: SparkSession, root: str, month: str) -> int:
     return read_raw(spark, root).where((F.col("load_month") == month) & (F.col("source_month") == month)).count()
 
@@ -63,5 +68,5 @@ def load_raw(spark: SparkSession, bronze_root: str, raw_root: str, month: str, *
     if existing and not force:
         return existing
     landed = scan_nanos_parquet(spark, bronze_path(month, bronze_root))
-    write_raw(project_contract(landed).withColumn("load_month", F.lit(month)), raw_root)
+    write_raw(project_contract(landed).withColumn("load_month", F.lit(month)), raw_root, many=False)
     return count_month(spark, raw_root, month)
