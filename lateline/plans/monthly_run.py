@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,8 @@ from lateline.sources.bronze import bronze_path, land_month, land_months, read_l
 from lateline.sources.raw import load_raw, read_raw, replace_months, write_raw
 from lateline.workspace import configure
 
+logger = logging.getLogger(__name__)
+
 
 class GateFailed(RuntimeError):
     """A landed file does not meet the contract; nothing was loaded."""
@@ -49,10 +53,11 @@ class Store:
 
 
 def gate(spark: SparkSession, store: Store, month: str) -> tuple[bool, int]:
-    """Whether the landed file passes, and its rows; an unreadable file has none."""
+    """Whether the landed file passes, and its rows; a file that is missing or not Parquet has none."""
     try:
         landed = scan_nanos_parquet(spark, bronze_path(month, store.bronze))
-    except AnalysisException:
+    except (PySparkException, Py4JJavaError):
+        logger.exception("%s: no readable file", month)
         return False, 0
     verdict = quality.gate_month(landed, month).first()
     return verdict["passed"], verdict["row_count"]
