@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from lateline import contract
 from lateline.operators import quality
 from lateline.plans import catalog, profiling
+from lateline.plans.profile_run import month_schemas
 from lateline.registry.catalogue import register
 from lateline.registry.shop import Shop
 from lateline.registry.tables import CANDIDATES_SQL, CONTRACT, micros
-from lateline.sources.bronze import file_sizes, month_folder
+from lateline.sources.bronze import file_sizes
 
 FILED = f"(SELECT {CONTRACT}, file_month AS source_month FROM filed)"
 T = 'make_timestamp("time" // 1000)'
@@ -384,8 +385,7 @@ register("dataset_summary_with_sizes", lambda s: micros(profiling.dataset_summar
 def _schemas(s: Shop) -> DataFrame:
     """The schema of every landed month, read from one footer each."""
     months = [r.source_month for r in s.filed.select("source_month").distinct().collect()]
-    folders = {m: month_folder(s.bronze_root, m) for m in sorted(months)}
-    return catalog.schema_rows(s.spark, catalog.read_schemas(s.spark, folders))
+    return month_schemas(s.spark, s.bronze_root, sorted(months))
 
 
 FIRST = "1997-01"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import threading
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,11 +25,14 @@ class Shop:
         self.spark, self.sf_dir = configure(spark), sf_dir
         self.space = Workspace(spark, hashlib.sha256(sf_dir.encode()).hexdigest()[:16])
 
-    @cached_property
+    @property
     def bronze_root(self) -> str:
-        root = self.space.path("bronze")
-        land_months(adapter.order_line_observations(self.spark, self.sf_dir), adapter.planned_month(), root)
-        return root
+        return self.space.once(
+            "bronze",
+            lambda root: land_months(
+                adapter.order_line_observations(self.spark, self.sf_dir), adapter.planned_month(), root
+            ),
+        )
 
     @cached_property
     def landed(self) -> DataFrame:
@@ -72,11 +76,13 @@ class Shop:
 
 
 _shops: dict[tuple[str, str], Shop] = {}
+_lock = threading.Lock()
 
 
 def shop(spark: SparkSession, sf_dir: str) -> Shop:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    if key not in _shops:
-        _shops[key] = Shop(spark, key[1])
     configure(spark)
-    return _shops[key]
+    with _lock:
+        if key not in _shops:
+            _shops[key] = Shop(spark, key[1])
+        return _shops[key]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -50,14 +51,25 @@ class Workspace:
     def __init__(self, spark: SparkSession, name: str):
         self.spark = spark
         self.root = f"{shared_root(spark)}/lateline/{spark.sparkContext.applicationId}/{name}"
+        self._written: set[str] = set()
         self._tables: dict[str, DataFrame] = {}
+        self._lock = threading.RLock()
 
     def path(self, table: str) -> str:
         return f"{self.root}/{table}"
 
+    def once(self, name: str, write: Callable[[str], None]) -> str:
+        """The path of a table, written by the first caller; others wait for it."""
+        with self._lock:
+            if name not in self._written:
+                write(self.path(name))
+                self._written.add(name)
+        return self.path(name)
+
     def table(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name not in self._tables:
-            model = build()
-            model.write.mode("overwrite").parquet(self.path(name))
-            self._tables[name] = self.spark.read.schema(model.schema).parquet(self.path(name))
-        return self._tables[name]
+        with self._lock:
+            if name not in self._tables:
+                model = build()
+                path = self.once(name, lambda path: model.write.mode("overwrite").parquet(path))
+                self._tables[name] = self.spark.read.schema(model.schema).parquet(path)
+            return self._tables[name]

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from conftest import observation
 from lateline.contract import DELAY_BANDS_MIN, OBSERVATION_COLUMNS, PROFILE_PERCENTILES
+from lateline.functions import observation as obs
 from lateline.operators import quality
-from lateline.plans import catalog, profiling
+from lateline.plans import catalog, profile_run, profiling
 from lateline.sources import sinks
+from lateline.sources.bronze import land_months
+from lateline.workspace import Workspace
 
 
 def scatter(n=400, seed=5):
@@ -268,3 +271,17 @@ def test_column_catalog(spark, profiled, tmp_path):
     back = spark.read.json(str(tmp_path / "catalog")).first()
     assert len(back.column_metadata) == 18 and back.catalog.source_format == "Parquet"
     assert catalog.decision_register(spark).count() == 11
+
+
+def test_exports(spark, observations, tmp_path):
+    root, out = str(tmp_path / "bronze"), str(tmp_path / "out")
+    plain = observations(*[{c: r[c] for c in OBSERVATION_COLUMNS} for r in ROWS])
+    month = obs.month_of(obs.decode_ns_truncated(F.col("time")))
+    land_months(plain.where("time IS NOT NULL"), month, root)
+    profile_run.export_profile(spark, root, out, Workspace(spark, f"profile-{tmp_path.name}"))
+    profile_run.export_catalog(spark, root, out)
+    written = {p.name for p in (tmp_path / "out").iterdir()}
+    assert len([n for n in written if n.endswith("_csv")]) == 18 + 5
+    assert {"delay_profile_parquet", "null_profile_csv", "modelling_decisions_csv", "column_catalog_csv", "catalog_json"} <= written
+    assert spark.read.parquet(f"{out}/null_profile_parquet").count() == 17 * len(by_month())
+    assert spark.read.json(f"{out}/catalog_json").count() == 1
