@@ -264,7 +264,7 @@ register(
 )
 register(
     "delay_bands",
-    lambda s: s.raw.groupBy("train_type").agg(*profiling.delay_bands(F.col("delay_in_min"))),
+    lambda s: s.raw.groupBy("train_type").agg(*profiling.delay_bands(F.col("delay_in_min"), F.lit(1).cast("long"))),
     "SELECT train_type, "
     + ", ".join(f"count(*) FILTER (delay_in_min >= {b}) AS delay_ge_{b}_min_rows" for b in contract.DELAY_BANDS_MIN)
     + " FROM raw GROUP BY train_type",

@@ -1,6 +1,9 @@
 import json
+import math
 import random
+import statistics
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -184,12 +187,23 @@ def test_delay_profile(profiled):
         found = got[month]
         assert found["non_canceled_rows"] == len(delays)
         assert (found["minimum_delay_min"], found["maximum_delay_min"]) == (delays[0], delays[-1])
-        nearest = [delays[max(0, -int(-p * len(delays) // 1) - 1)] for p in PROFILE_PERCENTILES]
+        nearest = [delays[math.ceil(Fraction(str(p)) * len(delays)) - 1] for p in PROFILE_PERCENTILES]
+        assert found["average_delay_min"] == pytest.approx(statistics.mean(delays), abs=1e-4)
+        assert found["stddev_delay_min"] == pytest.approx(statistics.stdev(delays), abs=1e-4)
         assert found["delay_percentiles_p01_p05_p25_p50_p75_p90_p95_p99"] == nearest
         for band in DELAY_BANDS_MIN:
             assert found[f"delay_ge_{band}_min_rows"] == sum(d >= band for d in delays)
 
 
+def test_delay_profile_without_delays(observations):
+    rows = [observation("a", delay_in_min=None), observation("b", "2026-02-01T00:00:00", delay_in_min=3)]
+    df = observations(*rows, observation("c", is_canceled=True)).withColumn("source_month", F.expr("if(id = 'b', '02', '01')"))
+    got = rows_by(profiling.delay_profile(df), "source_month")
+    percentiles = "delay_percentiles_p01_p05_p25_p50_p75_p90_p95_p99"
+    assert [got["01"][c] for c in ("non_canceled_rows", "delay_null_rows", "average_delay_min", percentiles)] == [1, 1, None, None]
+    assert [got["02"][c] for c in ("average_delay_min", "stddev_delay_min", percentiles)] == [3.0, None, [3] * 8]
+
+
 def test_sketches_stay_near_the_exact_counts(profiled):
     exact = rows_by(profiling.cardinality_profile(profiled, exact=True), "source_month", "column_name")
     for key, row in rows_by(profiling.cardinality_profile(profiled), "source_month", "column_name").items():
