@@ -255,11 +255,14 @@ KEY_CANDIDATES = (
 )
 
 
-def assess_identifier(observations: DataFrame, candidate: KeyCandidate, period: str = "source_month") -> DataFrame:
+def key_counts(observations: DataFrame, columns: Sequence[str], period: str = "source_month") -> DataFrame:
+    return observations.groupBy(F.col(period).alias("period"), *columns).agg(F.count("*").alias("n"))
+
+
+def assess_identifier(counts: DataFrame, candidate: KeyCandidate) -> DataFrame:
     """Null-key rows and repeated keys by period; a verdict only where the key is expected to be unique."""
     any_null = reduce(Column.__or__, [F.col(c).isNull() for c in candidate.columns])
-    groups = observations.groupBy(F.col(period).alias("period"), *candidate.columns).agg(F.count("*").alias("n"))
-    found = groups.groupBy("period").agg(
+    found = counts.groupBy("period").agg(
         F.sum(F.when(any_null, F.col("n")).otherwise(0)).alias("null_key_row_count"),
         F.count_if(F.col("n") > 1).alias("duplicate_group_count"),
     )
@@ -277,7 +280,16 @@ def assess_identifier(observations: DataFrame, candidate: KeyCandidate, period:
 
 
 def key_assessment(observations: DataFrame, candidates: Sequence[KeyCandidate] = KEY_CANDIDATES) -> DataFrame:
-    return reduce(DataFrame.unionByName, [assess_identifier(observations, c) for c in candidates])
+    """All candidates. A key that is part of a wider candidate is counted from that one's counts, whose shuffle Spark
+    then runs once for both."""
+
+    def counts(candidate: KeyCandidate) -> DataFrame:
+        wider = next((w for w in candidates if set(candidate.columns) < set(w.columns)), None)
+        if wider is None:
+            return key_counts(observations, candidate.columns)
+        return key_counts(observations, wider.columns).groupBy("period", *candidate.columns).agg(F.sum("n").alias("n"))
+
+    return reduce(DataFrame.unionByName, [assess_identifier(counts(c), c) for c in candidates])
 
 
 def key_verdicts(assessment: DataFrame) -> DataFrame:

@@ -37,6 +37,8 @@ def order_line_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     delay = F.col("l_quantity").cast("int") - 8
     planned = _epoch_ns(F.col("l_shipdate")) + (F.col("l_partkey") % 1440) * NS_PER_MINUTE
     change = planned + delay * NS_PER_MINUTE
+    shipped = F.col("l_shipdate")
+    ship_day = F.year(shipped) * 10000 + F.month(shipped) * 100 + F.dayofmonth(shipped)
     first, last = F.col("l_linenumber") == 1, F.col("l_linenumber") == 7
     return lines.select(
         F.when(F.col("n_nationkey") != 24, F.col("n_name")).alias("station_name"),
@@ -59,9 +61,7 @@ def order_line_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(~first, change).alias("arrival_change_time"),
         F.when(~last, planned).alias("departure_planned_time"),
         F.when(~last, change).alias("departure_change_time"),
-        F.concat_ws(
-            "-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd")
-        ).alias("id"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", ship_day).alias("id"),
     ).select(*OBSERVATION_COLUMNS)
 
 
