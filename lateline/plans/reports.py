@@ -61,13 +61,13 @@ def _in_period(mart: DataFrame, marts: Marts, f: Filters) -> DataFrame:
     return mart.join(_period(marts, f).select("service_month"), "service_month")
 
 
-def _selected_month(marts: Marts, f: Filters) -> Column:
+def selected_month(marts: Marts, f: Filters) -> Column:
     """The last month the filters allow, as a scalar subquery."""
     return _period(marts, f).agg(F.max("service_month")).scalar()
 
 
-def _selected_and_previous(mart: DataFrame, marts: Marts, f: Filters) -> DataFrame:
-    month = _selected_month(marts, f)
+def selected_and_previous(mart: DataFrame, marts: Marts, f: Filters) -> DataFrame:
+    month = selected_month(marts, f)
     return mart.where(F.col("service_month").isin(month, F.add_months(month, -1)))
 
 
@@ -121,19 +121,19 @@ def _with_volume(rows: DataFrame, key: list[Column], *names: str, ran: bool = Tr
 
 
 def kpi_avg_delay(m: Marts, f: Filters) -> DataFrame:
-    return _by_month(_selected_and_previous(m.station_perf, m, f), AVERAGE_DELAY)
+    return _by_month(selected_and_previous(m.station_perf, m, f), AVERAGE_DELAY)
 
 
 def kpi_ontime(m: Marts, f: Filters) -> DataFrame:
-    return _by_month(_selected_and_previous(m.station_perf, m, f), ON_TIME)
+    return _by_month(selected_and_previous(m.station_perf, m, f), ON_TIME)
 
 
 def kpi_cancel(m: Marts, f: Filters) -> DataFrame:
-    return _by_month(_selected_and_previous(m.station_perf, m, f), CANCELLATION)
+    return _by_month(selected_and_previous(m.station_perf, m, f), CANCELLATION)
 
 
 def kpi_activity(m: Marts, f: Filters) -> DataFrame:
-    return m.station_perf.where(F.col("service_month") == _selected_month(m, f)).agg(*_measures(ACTIVITY))
+    return m.station_perf.where(F.col("service_month") == selected_month(m, f)).agg(*_measures(ACTIVITY))
 
 
 def trend_delay(m: Marts, f: Filters) -> DataFrame:
@@ -186,17 +186,17 @@ def cat_ontime(m: Marts, f: Filters) -> DataFrame:
 
 
 def svc_kpi_avg(m: Marts, f: Filters) -> DataFrame:
-    month = _selected_month(m, f)
+    month = selected_month(m, f)
     rows = m.line_perf.where(F.col("service_month").between(F.add_months(month, -1), month))
     return _by_month(_of_category(rows, f), AVERAGE_DELAY)
 
 
 def svc_kpi_ontime(m: Marts, f: Filters) -> DataFrame:
-    return _by_month(_of_category(_selected_and_previous(m.line_perf, m, f), f), ON_TIME)
+    return _by_month(_of_category(selected_and_previous(m.line_perf, m, f), f), ON_TIME)
 
 
 def svc_kpi_cancel(m: Marts, f: Filters) -> DataFrame:
-    return _by_month(_of_category(_selected_and_previous(m.line_perf, m, f), f), CANCELLATION)
+    return _by_month(_of_category(selected_and_previous(m.line_perf, m, f), f), CANCELLATION)
 
 
 def svc_kpi_activity(m: Marts, f: Filters) -> DataFrame:
@@ -251,7 +251,7 @@ def svc_trend_reliability(m: Marts, f: Filters) -> DataFrame:
 
 
 def _station_kpi(m: Marts, f: Filters) -> DataFrame:
-    return _at_stations(_selected_and_previous(m.station_perf, m, f), m, f)
+    return _at_stations(selected_and_previous(m.station_perf, m, f), m, f)
 
 
 def s_kpi_avg(m: Marts, f: Filters) -> DataFrame:
@@ -280,7 +280,7 @@ def s_kpi_cancel(m: Marts, f: Filters) -> DataFrame:
 
 
 def s_kpi_activity(m: Marts, f: Filters) -> DataFrame:
-    rows = m.station_perf.where(F.col("service_month") == _selected_month(m, f))
+    rows = m.station_perf.where(F.col("service_month") == selected_month(m, f))
     return _at_stations(rows, m, f).agg(*_measures(ACTIVITY))
 
 
