@@ -21,7 +21,7 @@ from lateline.operators.observations import dedup_latest, enrich
 from lateline.operators.staging import stage_observations, union_sources
 from lateline.sources.bronze import bronze_path, land_month, land_months, read_landed, scan_nanos_parquet
 from lateline.sources.raw import load_raw, read_raw, replace_months, write_raw
-from lateline.workspace import configure
+from lateline.workspace import configure, size_shuffles, stored_bytes
 
 logger = logging.getLogger(__name__)
 
@@ -88,6 +88,7 @@ def build_layers(
     and marts never look across months, so only the given months are rebuilt; the result equals a full refresh, which
     ``None`` asks for. Dimensions span all months and are made anew from two or three columns of the stored table.
     """
+    size_shuffles(spark, stored_bytes(spark, store.raw))
     raw = read_raw(spark, store.raw)
     require(quality.audit(raw, "raw_observations"))
     if months is not None:

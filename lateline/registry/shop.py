@@ -15,7 +15,7 @@ from lateline.operators.staging import stage_observations, union_sources
 from lateline.registry import adapter
 from lateline.sources.bronze import land_months, read_landed, scan_nanos_parquet
 from lateline.sources.raw import derive_source_month
-from lateline.workspace import Workspace, configure
+from lateline.workspace import Workspace, configure, size_shuffles, stored_bytes
 
 
 class Shop:
@@ -23,6 +23,7 @@ class Shop:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = configure(spark), sf_dir
+        size_shuffles(spark, stored_bytes(spark, sf_dir))
         self.space = Workspace(spark, hashlib.sha256(sf_dir.encode()).hexdigest()[:16])
 
     @property

@@ -41,6 +41,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
 
 
+def stored_bytes(spark: SparkSession, *paths: str) -> int:
+    """Size of files or folders, from the file system's own summary; missing ones have none."""
+    total = 0
+    for path in paths:
+        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        total += files.getContentSummary(target).getLength() if files.exists(target) else 0
+    return total
+
+
+def size_shuffles(spark: SparkSession, input_bytes: int, per_partition: int = 256 << 20, most: int = 32_768) -> int:
+    """Raises the shuffle partitions to suit the input; never lowers what the session has.
+
+    Adaptive plans merge partitions that turn out small but cannot cut finer than they began, so the default of 200
+    would leave half a terabyte to each reducer of a 100 TB shuffle. Beyond ``most`` the driver's bookkeeping of
+    map outputs costs more than larger, spilling partitions do.
+    """
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(-(-input_bytes // per_partition), most))
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    return partitions
+
+
 class Workspace:
     """Tables of one application, each written once to shared storage and read back from there.
 

@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from lateline.plans.reports import REPORTS
 from lateline.registry.shop import shop
-from lateline.workspace import Workspace, path_exists, shared_root
+from lateline.workspace import Workspace, path_exists, shared_root, size_shuffles, stored_bytes
 from oracle_check import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -50,3 +50,17 @@ def test_stored_tables_live_in_the_shared_folder(spark):
         table = space.table("t", lambda: built.append(1) or spark.range(3))
     assert (table.count(), len(built)) == (3, 1)
     assert path_exists(spark, space.path("t")) and not path_exists(spark, space.path("u"))
+
+
+def test_shuffles_grow_with_the_input(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "b").write_bytes(b"x" * 1000)
+    assert stored_bytes(spark, str(tmp_path), str(tmp_path / "absent")) == 1000
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert size_shuffles(spark, 1000) == int(before)
+        assert size_shuffles(spark, 10 * (256 << 20) + 1) == 11
+        assert size_shuffles(spark, 1000) == 11
+        assert size_shuffles(spark, 10**14) == 32_768
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
