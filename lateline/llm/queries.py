@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateline.llm.mixing import mix_sources, token_count
+from lateline.llm.packing import pack_documents
 from lateline.llm.url_rules import ALLOW, BLOCK, judge_urls
 from lateline.workspace import configure
 
@@ -122,3 +123,8 @@ judged AS (
 )
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM parsed LEFT JOIN judged USING (n)
 """
+
+
+@query
+def op9_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
