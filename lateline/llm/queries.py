@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lateline.llm.line_templates import drop_recurring_lines
 from lateline.llm.mixing import mix_sources, token_count
 from lateline.llm.packing import pack_documents
 from lateline.llm.url_rules import ALLOW, BLOCK, judge_urls
@@ -128,3 +129,63 @@ SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM par
 @query
 def op9_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_drop_recurring_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+SQL["op8_drop_recurring_lines"] = r"""
+WITH split AS (
+  SELECT doc_id, "text", unnest(string_split("text", chr(10))) AS line,
+         generate_subscripts(string_split("text", chr(10)), 1) AS position
+  FROM documents
+),
+masked AS (
+  SELECT doc_id, "text", line, position,
+         list_transform(string_split(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'), ' '), ' '),
+                        lambda w: CASE WHEN regexp_matches(w, '[0-9]') THEN '<*>' ELSE w END) AS tokens
+  FROM split
+),
+lines AS (
+  SELECT *, len(tokens) || ' ' || array_to_string(tokens[1:3], ' ') AS leaf, array_to_string(tokens, ' ') AS template
+  FROM masked WHERE len(tokens) >= 3
+),
+large AS (SELECT leaf, count(*) AS lines FROM lines GROUP BY leaf HAVING count(*) >= 10),
+tokens AS (
+  SELECT leaf, lines, unnest(tokens) AS token, generate_subscripts(tokens, 1) AS spot FROM lines JOIN large USING (leaf)
+),
+counted AS (SELECT leaf, lines, spot, token, count(*) AS n FROM tokens GROUP BY ALL),
+best AS (
+  SELECT leaf, spot, arg_max(token, (n, token)) AS token, max(n) / any_value(lines) AS share FROM counted GROUP BY leaf, spot
+),
+leaves AS (
+  SELECT * FROM (
+    SELECT leaf, list(CASE WHEN share >= 0.8 THEN token ELSE '<*>' END ORDER BY spot) AS leaf_tokens,
+           count(*) FILTER (share >= 0.8 AND token <> '<*>') AS constants
+    FROM best GROUP BY leaf)
+  WHERE constants >= 0.7 * len(leaf_tokens)
+),
+keyed AS (
+  SELECT doc_id, "text", position,
+         CASE WHEN len(list_filter(list_zip(tokens, leaf_tokens), lambda x: x[2] <> '<*>' AND x[1] = x[2])) >= 0.8 * constants
+              THEN leaf || chr(10) || array_to_string(leaf_tokens, ' ') ELSE l.template END AS template
+  FROM lines l LEFT JOIN leaves USING (leaf)
+),
+recurring AS (
+  SELECT template, min(doc_id) AS first_doc FROM keyed GROUP BY template HAVING count(DISTINCT "text") >= 10
+),
+drops AS (
+  SELECT DISTINCT doc_id, position FROM keyed JOIN recurring USING (template) WHERE doc_id <> first_doc
+),
+kept AS (
+  SELECT s.doc_id, count(*) AS n_lines, count(d.doc_id) AS n_dropped,
+         string_agg(line, chr(10) ORDER BY s.position) FILTER (d.doc_id IS NULL) AS kept_text
+  FROM split s LEFT JOIN drops d ON s.doc_id = d.doc_id AND s.position = d.position GROUP BY s.doc_id
+)
+SELECT o.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+       sha256(coalesce(kept_text, '')) AS kept_sha256
+FROM documents o LEFT JOIN kept USING (doc_id)
+"""
