@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lateline.llm.line_templates import drop_recurring_lines
 from lateline.llm.mixing import mix_sources, token_count
 from lateline.llm.packing import pack_documents
+from lateline.llm.syncmers import fingerprint_documents
 from lateline.llm.url_rules import ALLOW, BLOCK, judge_urls
 from lateline.workspace import configure
 
@@ -189,3 +190,8 @@ SELECT o.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dr
        sha256(coalesce(kept_text, '')) AS kept_sha256
 FROM documents o LEFT JOIN kept USING (doc_id)
 """
+
+
+@query
+def op10_fingerprint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
