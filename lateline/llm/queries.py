@@ -11,6 +11,7 @@ from lateline.llm.line_templates import drop_recurring_lines
 from lateline.llm.mixing import mix_sources, token_count
 from lateline.llm.packing import pack_documents
 from lateline.llm.syncmers import fingerprint_documents
+from lateline.llm.toxicity import held_out, score_documents, train
 from lateline.llm.url_rules import ALLOW, BLOCK, judge_urls
 from lateline.workspace import configure
 
@@ -195,3 +196,10 @@ FROM documents o LEFT JOIN kept USING (doc_id)
 @query
 def op10_fingerprint_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
