@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lateline.llm.line_templates import drop_recurring_lines
 from lateline.llm.mixing import mix_sources, token_count
 from lateline.llm.packing import pack_documents
+from lateline.llm.repeats import remove_repeats
 from lateline.llm.syncmers import fingerprint_documents
 from lateline.llm.toxicity import held_out, score_documents, train
 from lateline.llm.url_rules import ALLOW, BLOCK, judge_urls
@@ -203,3 +204,9 @@ def op6_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = score_documents(docs, train(docs, table(spark, sf_dir, "labels")))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op7_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = remove_repeats(table(spark, sf_dir, "documents"))
+    return rest.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
