@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateline.llm.line_templates import drop_recurring_lines
+from lateline.llm.minhash import link_documents
 from lateline.llm.mixing import mix_sources, token_count
 from lateline.llm.packing import pack_documents
 from lateline.llm.repeats import remove_repeats
@@ -210,3 +211,8 @@ def op6_score_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rest = remove_repeats(table(spark, sf_dir, "documents"))
     return rest.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op1_link_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_documents(table(spark, sf_dir, "documents"))
