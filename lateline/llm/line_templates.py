@@ -20,34 +20,35 @@ from lateline.llm.storage import Scratch
 VARIABLE = "<*>"
 WITH_DIGIT = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*"
 SPACE = r"[\x20\x09-\x0D]+"
-EDGES = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
+UNEVEN = r"[\x09-\x0D]|\x20\x20|^\x20|\x20$"
 
 
 def masked(line: Column) -> Column:
-    """The line with single spaces, tokens that hold a digit made variable."""
-    return F.regexp_replace(F.regexp_replace(F.regexp_replace(line, SPACE, " "), "^ | $", ""), WITH_DIGIT, VARIABLE)
+    """The line with single spaces, tokens that hold a digit made variable. Lines that need neither are left alone."""
+    spaced = F.regexp_replace(F.regexp_replace(line, SPACE, " "), "^ | $", "")
+    even = F.when(line.rlike(UNEVEN), spaced).otherwise(line)
+    return F.when(line.rlike("[0-9]"), F.regexp_replace(even, WITH_DIGIT, VARIABLE)).otherwise(even)
 
 
 def line_keys(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
-    """A row for each line of enough tokens: its document, position, leaf and masked text."""
+    """A row for each line of enough tokens: its document, position, leaf (hashed) and masked text."""
     lines = docs.select(
         "doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("position", "line")
     )
     lines = lines.select("doc_id", "text_hash", "position", masked(F.col("line")).alias("template"))
-    tokens = F.regexp_count("template", F.lit(" ")) + 1
+    tokens = F.length("template") - F.length(F.replace("template", F.lit(" "), F.lit(""))) + 1
     return lines.withColumn("tokens", tokens).where(F.col("tokens") >= min_tokens).select(
         "doc_id",
         "text_hash",
         "position",
-        F.concat_ws(" ", F.col("tokens").cast("string"), F.substring_index("template", " ", depth)).alias("leaf"),
+        F.xxhash64("tokens", F.substring_index("template", " ", depth)).alias("leaf"),
         "template",
     )
 
 
-def leaf_templates(lines: DataFrame, min_documents: int, support: float, constant: float) -> DataFrame:
-    """Leaves of enough lines whose generalised template keeps at least the share ``constant`` of its tokens."""
-    large = lines.groupBy("leaf").agg(F.count("*").alias("lines")).where(F.col("lines") >= min_documents)
-    tokens = lines.join(large, "leaf").select("leaf", "lines", F.posexplode(F.split("template", " ")).alias("at", "token"))
+def leaf_templates(lines: DataFrame, support: float, constant: float) -> DataFrame:
+    """Leaves whose generalised template keeps at least the share ``constant`` of its tokens."""
+    tokens = lines.select("leaf", "lines", F.posexplode(F.split("template", " ")).alias("at", "token"))
     counted = tokens.groupBy("leaf", "at", "token").agg(F.count("*").alias("n"), F.any_value("lines").alias("lines"))
     best = counted.groupBy("leaf", "at").agg(
         F.max_by("token", F.struct("n", "token")).alias("token"), (F.max("n") / F.any_value("lines")).alias("share")
@@ -65,16 +66,28 @@ def leaf_templates(lines: DataFrame, min_documents: int, support: float, constan
 def recurring_lines(
     docs: DataFrame, *, depth: int, min_tokens: int, min_documents: int, support: float, constant: float
 ) -> DataFrame:
-    """Positions of the lines to drop: doc_id, text_hash, positions (ascending)."""
+    """Positions of the lines to drop: doc_id, text_hash, positions (ascending).
+
+    Keys of all lines are stored as numbers; the masked texts are made again for leaves of enough lines only.
+    """
     scratch = Scratch(docs.sparkSession, "line_templates")
     lines = line_keys(docs, depth, min_tokens)
-    leaves = scratch.keep(leaf_templates(lines, min_documents, support, constant), "leaves")
-    # A line follows its leaf's template if at most one of the constant tokens differs per ``1 / (1 - support)``.
-    agree = F.size(F.filter(F.zip_with(F.split("template", " "), "leaf_tokens", lambda a, b: (b != VARIABLE) & (a == b)), lambda x: x))
-    follows = F.coalesce(agree >= F.lit(support) * F.col("constants"), F.lit(False))
-    template = F.when(follows, F.xxhash64("leaf", F.array_join("leaf_tokens", " "))).otherwise(F.xxhash64("template"))
-    keyed = lines.join(leaves, "leaf", "left").select("doc_id", "text_hash", "position", template.alias("template"))
-    keyed = scratch.keep(keyed, "lines")
+    keys = scratch.keep(lines.withColumn("template", F.xxhash64("template")), "keys")
+    large = scratch.keep(
+        keys.groupBy("leaf").agg(F.count("*").alias("lines")).where(F.col("lines") >= min_documents), "large"
+    )
+    large_lines = scratch.keep(lines.join(large, "leaf"), "large_lines")
+    leaves = scratch.keep(leaf_templates(large_lines, support, constant), "leaves")
+    # A line follows its leaf's template if it has the share ``support`` of the constant tokens.
+    own = F.zip_with(F.split("template", " "), "leaf_tokens", lambda a, b: (b != VARIABLE) & (a == b))
+    follows = F.size(F.filter(own, lambda same: same)) >= F.lit(support) * F.col("constants")
+    template = F.when(follows, F.xxhash64("leaf", F.lit("leaf"))).otherwise(F.xxhash64("template"))
+    where = ["doc_id", "text_hash", "position"]
+    keyed = scratch.keep(
+        keys.join(leaves, "leaf", "left_anti").select(*where, "template")
+        .union(large_lines.join(leaves, "leaf").select(*where, template.alias("template"))),
+        "lines",
+    )
     # Exact copies of a document count once; taking copies out is another operator's work.
     texts = keyed.groupBy("template", "text_hash").agg(F.min("doc_id").alias("doc_id"))
     recurring = scratch.keep(
