@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lateline.llm.cover_tree import top_k
 from lateline.llm.line_templates import drop_recurring_lines
 from lateline.llm.minhash import link_documents
 from lateline.llm.mixing import mix_sources, token_count
@@ -216,3 +217,30 @@ def op7_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_link_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op2_top_k"] = r"""
+WITH parts AS (
+  SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS spot FROM embeddings
+),
+whole AS (
+  SELECT vec_id, list(CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) ORDER BY spot) AS v
+  FROM parts GROUP BY vec_id
+  HAVING bool_and(x IS NOT NULL AND isfinite(x))
+),
+scored AS (
+  SELECT q.vec_id AS query_id, d.vec_id, list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])) AS score
+  FROM whole q JOIN whole d ON q.vec_id <> d.vec_id WHERE q.vec_id % 50 = 0
+),
+ranked AS (
+  SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+         vec_id, CAST(score AS BIGINT) AS score
+  FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
