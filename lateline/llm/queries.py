@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lateline.llm import private_data
 from lateline.llm.cover_tree import top_k
 from lateline.llm.line_templates import drop_recurring_lines
 from lateline.llm.minhash import link_documents
 from lateline.llm.mixing import mix_sources, token_count
 from lateline.llm.packing import pack_documents
 from lateline.llm.repeats import remove_repeats
+from lateline.llm.private_data import find_private_data
 from lateline.llm.syncmers import fingerprint_documents
 from lateline.llm.toxicity import held_out, score_documents, train
 from lateline.llm.url_rules import ALLOW, BLOCK, judge_urls
@@ -244,3 +246,22 @@ ranked AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op4_find_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_private_data(docs, private_data.train(docs))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    return found.select(
+        "doc_id",
+        *[
+            F.size(F.expr(f"filter(spans, s -> s.kind = '{kind}')")).cast("long").alias(f"n_{kind}")
+            for kind in private_data.KINDS
+        ],
+        F.sha2(joined(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"),
+        joined(F.col("spans")).alias("spans"),
+    )
