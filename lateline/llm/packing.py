@@ -157,7 +157,8 @@ def pack_lengths(counts: dict[int, int], window: int) -> dict[int, Slots]:
 def rank_by_length(pieces: DataFrame, counts: DataFrame) -> DataFrame:
     """Numbers the pieces of each length from 0, in about root-of-count buckets of about root-of-count pieces."""
     bucket = F.pmod(F.xxhash64("doc_id", "start"), F.ceil(F.sqrt("count"))).alias("bucket")
-    dealt = pieces.join(F.broadcast(counts), "length")  # a row for each length, the window's number at most.select(*pieces.columns, bucket)
+    # The counts have a row for each length, as many as the window at most.
+    dealt = pieces.join(F.broadcast(counts), "length").select(*pieces.columns, bucket)
     filled = dealt.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
     filled = filled.select("length", "bucket", F.coalesce(before, F.lit(0)).alias("before"))
