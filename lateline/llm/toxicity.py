@@ -97,7 +97,7 @@ def letter_costs(counts: np.ndarray, weight: float = 5.0) -> np.ndarray:
 class Restorer:
     """Decodes the disguised stretches of texts; a stretch met before is remembered."""
 
-    def __init__(self, costs: np.ndarray, remembered: int = 200_000):
+    def __init__(self, costs: np.ndarray, remembered: int = 50_000):
         self.costs, self.remembered, self.known = costs, remembered, {}
 
     def decode(self, stretch: str) -> str:
@@ -177,12 +177,12 @@ class Model:
     def scorer(self):
         restorer, known = Restorer(self.costs), {}
 
-        def features(word: str) -> list[str]:
+        def features(word: str) -> tuple[str, ...]:
             found = known.get(word)
             if found is None:
-                if len(known) >= 300_000:
+                if len(known) >= 100_000:
                     known.clear()
-                found = known[word] = [f for f in features_of(word) if f in self.weights]
+                found = known[word] = tuple(f for f in features_of(word) if f in self.weights)
             return found
 
         def score(text: str | None) -> float:
@@ -252,6 +252,9 @@ def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = 12_000, le
                     for feature in features_of(word):
                         counts[feature] += n
                 rows += [(doc, f, toxic, math.log1p(n)) for f, n in counts.items()]
+                if len(rows) > 20_000:  # a few documents at a time, as each has thousands of features
+                    yield pd.DataFrame(rows, columns=["doc", "name", "toxic", "value"])
+                    rows = []
             yield pd.DataFrame(rows, columns=["doc", "name", "toxic", "value"])
 
     # The chosen ids are bounded, so Spark sends them to the documents; rows of the same id: any one is taken.
