@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lateline.llm import private_data
 from lateline.llm.cover_tree import top_k
 from lateline.llm.line_templates import drop_recurring_lines
@@ -265,3 +266,8 @@ def op4_find_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(joined(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"),
         joined(F.col("spans")).alias("spans"),
     )
+
+
+QUERIES["pipeline"] = corpus_pipeline.run
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

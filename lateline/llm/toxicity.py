@@ -43,7 +43,7 @@ SPACED = r"(?<![^\W_])(?:[^\W_][ ._*\-]{1,2}){3,}[^\W_](?![^\W_])"
 SIGNED = rf"(?<!\S)\S*?(?:[^\W\d_][{SIGNS}.*_\-]+[^\W\d_]|[{SIGNS}][^\W\d_]{{2}}|([^\W\d_])\1\1|([^\W\d_])\2([^\W\d_])\3)\S*"
 DISGUISED = re.compile(f"{SPACED}|{SIGNED}")
 STARTS = range(4, 9)
-RIDGE, STEP = 0.1, 0.5
+RIDGE, STEP = 0.02, 0.5
 
 
 def _symbols() -> np.ndarray:
@@ -135,11 +135,11 @@ class Restorer:
             if len(self.known) >= self.remembered:
                 self.known.clear()
             core = stretch.strip("".join(c for c in set(stretch) if not c.isalnum() and c not in "@$!|+(€£")) or stretch
-            plain = core.rstrip("!$%&#*+|(@") or core
+            plain = re.sub(r"(?:[%&#*]+|([!$+|(@])\1+)$", "", core) or core
             digits = sum(c.isdigit() for c in plain)
             if plain.isalpha() and not re.search(r"(.)\1\1|(.)\2(.)\3", plain):
                 reading = plain
-            elif digits * 2 > len(plain) or plain.count("@") and "." in plain.partition("@")[2]:
+            elif digits * 3 > len(plain) * 2 or plain.count("@") and "." in plain.partition("@")[2]:
                 reading = stretch  # numbers and addresses
             else:
                 reading = self.decode(plain)
