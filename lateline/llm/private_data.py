@@ -8,7 +8,7 @@ hold a digit or an @ with a kind or none. Its potentials:
 - chain: the labels of tokens next to each other;
 - skip: tokens far apart with the same digits, the same last digits or the same address share a label.
 
-All are fitted to the patterns' labels over all documents. As signs are yes or no, the counts of their combinations by
+The first two are fitted to the patterns' labels over all documents. As signs are yes or no, the counts of their combinations by
 label say all there is to say, so the driver fits on at most 2^16 rows. Skip links join a token to the last one before it
 with the same key, so a document has at most three links for each token. Marginals come from loopy belief propagation over all
 documents of a batch at once; tokens in pattern matches are given. Confident tokens outside matches become added spans
@@ -199,23 +199,26 @@ def _fit_own(counts: np.ndarray, steps: int = 300) -> np.ndarray:
     return every - np.log(np.exp(every - every.max(1, keepdims=True)).sum(1, keepdims=True)) - every.max(1, keepdims=True)
 
 
-def train(docs: DataFrame) -> Field:
-    """Counts signs and linked labels over all documents and fits the potentials to them."""
+def train(docs: DataFrame, *, agreement: float = 4.0) -> Field:
+    """Counts signs and neighbouring labels over all documents and fits the own and chain potentials to them.
+
+    The skip potential is the log odds ``agreement`` for equal labels. It can't be learned here: to the patterns a
+    repeated number without its full form is none, which is just what the field is to mend.
+    """
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(((1 << SIGNS) + 2 * LABELS) * LABELS, dtype=np.int64)
+        total = np.zeros(((1 << SIGNS) + LABELS) * LABELS, dtype=np.int64)
         for batch in batches:
             texts = [t if isinstance(t, str) else "" for t in batch["text"].array]
             tokens = tokens_of(texts, [base_spans(t) for t in texts])
             label = np.where(tokens.given < 0, NONE, tokens.given)
             np.add.at(total, tokens.signs * LABELS + label, 1)
-            for links, part in ((tokens.chain, 0), (tokens.skip, LABELS)):
-                np.add.at(total, ((1 << SIGNS) + part + label[links[:, 0]]) * LABELS + label[links[:, 1]], 1)
+            np.add.at(total, ((1 << SIGNS) + label[tokens.chain[:, 0]]) * LABELS + label[tokens.chain[:, 1]], 1)
         found = np.flatnonzero(total)
         yield pd.DataFrame({"code": found, "n": total[found]})
 
     summed = docs.select("text").mapInPandas(counted, "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toPandas()
-    total = np.zeros(((1 << SIGNS) + 2 * LABELS) * LABELS)
+    total = np.zeros(((1 << SIGNS) + LABELS) * LABELS)
     total[summed["code"].to_numpy()] = summed["n"].to_numpy()
     counts = total[: (1 << SIGNS) * LABELS].reshape(-1, LABELS)
 
@@ -224,10 +227,8 @@ def train(docs: DataFrame) -> Field:
         pairs = pairs + pairs.T + 0.5
         return np.clip(np.log(pairs * pairs.sum() / np.outer(pairs.sum(1), pairs.sum(1))), -6, 6)
 
-    rest = total[(1 << SIGNS) * LABELS :].reshape(2, LABELS, LABELS)
-    skip = together(rest[1])
-    skip[np.diag_indices(LABELS)] = np.maximum(skip.diagonal(), 1.0)  # equal labels agree even where none were seen
-    return Field(_fit_own(counts), together(rest[0]), skip)
+    chain = total[(1 << SIGNS) * LABELS :].reshape(LABELS, LABELS)
+    return Field(_fit_own(counts), together(chain), agreement * np.eye(LABELS))
 
 
 def supported(tokens: Tokens) -> np.ndarray:
