@@ -10,12 +10,13 @@ Candidates come in three steps, each seeing only what the one before left open:
 1. neighbours in the first trees, which link most of a dense region whatever its size (its neighbours agree far deeper
    than ``DEPTH``, so depth follows density);
 2. neighbours in all other trees that lie in different components so far;
-3. all pairs of different components in a region. In a region that is one component by now there are none; what is left
-   are sparse regions of few texts. This step makes the search exact at ``DEPTH``: no pair that shares a region stays
-   unseen, and there is no cap. A pair at the threshold of 0.85 shares none of 24 regions of depth 5 with a
-   probability of 1e-6.
+3. texts of different components in a region. A region that is one component by now has none. In the others longer
+   sketches are compared, block by block, and only pairs that these don't rule out go on. This step makes the search
+   exact at ``DEPTH`` up to the sketches' error: there is no cap, and a pair at the threshold of 0.85 shares none of 24
+   regions of depth 5 with a probability of 1e-6, or is ruled out by its sketches with one of 3e-6.
 
-Every candidate is confirmed on the full sets, computed again from the texts of candidates only.
+Every candidate is confirmed on the full sets, made again from the texts. Texts move once: those that stand in a region
+with another one are stored by themselves, and the rest are never looked at again.
 """
 
 from __future__ import annotations
@@ -34,8 +35,13 @@ from lateline.llm.storage import Scratch
 
 SHINGLE = 5
 TREES, DEPTH, FIRST_TREES = 24, 5, 3
+#: Hash functions of a sketch, one byte each, and how many of them must agree: 4.5 standard deviations below 0.85.
+SKETCH, AGREE = 480, 373
+#: Texts of a region that are compared with as many others in one task.
+BLOCK = 512
 NO_ID = -(1 << 63)
 SEEDS = np.random.default_rng(20_240_501).integers(1, 1 << 63, size=(2, TREES * DEPTH), dtype=np.uint64) | np.uint64(1)
+SKETCH_SEEDS = np.random.default_rng(7_112_023).integers(1, 1 << 63, size=(2, SKETCH), dtype=np.uint64) | np.uint64(1)
 
 
 def shingle_set(text: str | None) -> np.ndarray:
@@ -54,12 +60,12 @@ def shingle_set(text: str | None) -> np.ndarray:
 LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """The least 32 upper bits of each of the hash functions over a set that isn't empty."""
-    least = np.full(TREES * DEPTH, np.iinfo(np.uint64).max, dtype=np.uint64)
+def signature(shingles: np.ndarray, seeds: np.ndarray = SEEDS) -> np.ndarray:
+    """The least value of each hash function over a set that isn't empty, its upper 32 bits."""
+    least = np.full(seeds.shape[1], np.iinfo(np.uint64).max, dtype=np.uint64)
     for begin in range(0, len(shingles), 1_024):
         part = shingles[begin : begin + 1_024]
-        np.minimum(least, ((part[:, None] ^ SEEDS[0]) * SEEDS[1]).min(axis=0), out=least)
+        np.minimum(least, ((part[:, None] ^ seeds[0]) * seeds[1]).min(axis=0), out=least)
     return (least >> np.uint64(32)).astype("<u4")
 
 
@@ -88,26 +94,33 @@ def profiles(docs: DataFrame) -> DataFrame:
 
 
 def neighbours(forest: DataFrame) -> DataFrame:
-    """Pairs that stand next to each other in a tree and lie in one region, but in different components so far.
+    """Texts that stand next to each other in a tree and lie in one region: tree, region, a, b and the sizes of their sets.
 
-    Range partitions cut the sorted order, so no region, however large, meets in one task; the neighbours on either side
-    of a cut are left to the last step.
+    Range partitions cut the sorted order, so no region, however large, meets in one task. The regions at either end of
+    a partition, which may go on beyond it, get a row with the same text as a and b.
     """
 
     def next_to(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last = None
+        names = ["tree", "region", "a", "b", "a_size", "b_size"]
         for batch in batches:
-            if last is not None:
+            if not len(batch):
+                continue
+            if last is None:
+                yield batch.iloc[:1][["tree", "region", "id", "id", "n_shingles", "n_shingles"]].set_axis(names, axis=1)
+            else:
                 batch = pd.concat([last, batch], ignore_index=True)
-            tree, region, ident, component, size = (batch[c].to_numpy() for c in ("tree", "region", "id", "component", "n_shingles"))
-            same = (tree[1:] == tree[:-1]) & (region[1:] == region[:-1]) & (component[1:] != component[:-1])
-            same &= 100 * np.minimum(size[1:], size[:-1]) >= 85 * np.maximum(size[1:], size[:-1])
-            at = np.flatnonzero(same)
-            yield pd.DataFrame({"a": np.maximum(ident[at], ident[at + 1]), "b": np.minimum(ident[at], ident[at + 1])})
+            tree, region, ident, size = (batch[c].to_numpy() for c in ("tree", "region", "id", "n_shingles"))
+            at = np.flatnonzero((tree[1:] == tree[:-1]) & (region[1:] == region[:-1]))
+            columns = (tree[at], region[at], ident[at], ident[at + 1], size[at], size[at + 1])
+            yield pd.DataFrame(dict(zip(names, columns)))
             last = batch.iloc[-1:]
+        if last is not None:
+            yield last[["tree", "region", "id", "id", "n_shingles", "n_shingles"]].set_axis(names, axis=1)
 
     order = ["tree", "region", "deeper", "id"]
-    return forest.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(next_to, "a long, b long").distinct()
+    schema = "tree int, region long, a long, b long, a_size long, b_size long"
+    return forest.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(next_to, schema)
 
 
 def may_link(a: Column, b: Column) -> Column:
@@ -115,48 +128,84 @@ def may_link(a: Column, b: Column) -> Column:
     return F.least(a, b) * 100 >= F.greatest(a, b) * 85
 
 
-def across_components(forest: DataFrame) -> DataFrame:
-    """All pairs of different components in a region, each made in the first tree where it shares one."""
-    mixed_regions = (
-        forest.groupBy("tree", "region").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .where("low <> high").select("tree", "region")
-    )
-    left = forest.join(mixed_regions, ["tree", "region"]).drop("deeper")
-    right = left.select(*[F.col(c).alias(f"other_{c}") for c in left.columns])
-    shared = F.zip_with("regions", "other_regions", lambda x, y: x == y)
-    pairs = left.join(
-        right,
-        (F.col("tree") == F.col("other_tree")) & (F.col("region") == F.col("other_region"))
-        & (F.col("id") > F.col("other_id")) & (F.col("component") != F.col("other_component"))
-        & may_link(F.col("n_shingles"), F.col("other_n_shingles")),
-    )
-    first = F.array_position(shared, F.lit(True)) == F.col("tree") + 1
-    return pairs.where(first).select(F.col("id").alias("a"), F.col("other_id").alias("b"))
+def ordered(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full sets reach the threshold. Sets are made from the texts of the documents in pairs only."""
+def apart(adjacent: DataFrame, found: DataFrame) -> DataFrame:
+    """Neighbours that lie in different components so far."""
+    for end in ("a", "b"):
+        known = found.select(F.col("node").alias(end), F.col("component").alias(f"{end}_component"))
+        adjacent = adjacent.join(known, end, "left").withColumn(f"{end}_component", F.coalesce(f"{end}_component", end))
+    return adjacent.where("a_component <> b_component")
 
-    def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def sketches(texts: DataFrame) -> DataFrame:
+    def sketched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [shingle_set(text).view(np.int64) for text in batch["text"].array]
-            yield pd.DataFrame({"id": batch["id"], "shingles": found})
-
-    nodes = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    made = docs.join(nodes, "id", "left_semi").dropDuplicates(["id"]).mapInPandas(sets, "id long, shingles array<long>")
-    both = F.size(F.array_intersect("shingles", "other_shingles"))
-    either = F.size("shingles") + F.size("other_shingles") - both
-    return (
-        pairs.join(made.withColumnRenamed("id", "a"), "a")
-        .join(made.select(F.col("id").alias("b"), F.col("shingles").alias("other_shingles")), "b")
-        .where(both * 100 >= either * 85)
-        .select("a", "b")
+            rows = [signature(shingle_set(t), SKETCH_SEEDS).astype(np.uint8).tobytes() for t in batch["text"].array]
+            yield pd.DataFrame({"id": batch["id"], "sketch": rows})
+
+    return texts.mapInPandas(sketched, "id long, sketch binary")
+
+
+def across_components(members: DataFrame) -> DataFrame:
+    """Pairs of different components in a region whose sizes and sketches don't rule a link out.
+
+    ``members``: tree, region, region_size, id, component, n_shingles, sketch. A region is dealt into blocks, and each two
+    blocks meet in one task.
+    """
+    blocks = F.ceil(F.col("region_size") / BLOCK)
+    own = F.pmod(F.xxhash64("id"), blocks)
+    dealt = members.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    dealt = dealt.select(
+        F.xxhash64("tree", "region", F.least("own", "other"), F.greatest("own", "other")).alias("meeting"),
+        (F.col("own") > F.col("other")).alias("second"), (F.col("own") == F.col("other")).alias("alone"),
+        "id", "component", "n_shingles", "sketch",
     )
 
+    def compared(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids, component, size = (pdf[c].to_numpy() for c in ("id", "component", "n_shingles"))
+        sketch = np.frombuffer(b"".join(pdf["sketch"]), dtype=np.uint8).reshape(len(pdf), SKETCH)
+        alone, second = pdf["alone"].to_numpy(), pdf["second"].to_numpy()
+        found = []
+        others = np.arange(len(pdf))
+        for i in range(len(pdf)):
+            with_ = others[i + 1 :] if alone[i] else others[second & ~alone] if not second[i] else others[:0]
+            fit = (component[with_] != component[i]) & (100 * np.minimum(size[with_], size[i]) >= 85 * np.maximum(size[with_], size[i]))
+            with_ = with_[fit]
+            with_ = with_[(sketch[with_] == sketch[i]).sum(axis=1) >= AGREE]
+            found.append(np.stack([np.maximum(ids[with_], ids[i]), np.minimum(ids[with_], ids[i])], axis=1))
+        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
-def with_components(forest: DataFrame, found: DataFrame) -> DataFrame:
-    known = found.select(F.col("node").alias("id"), F.col("component").alias("known"))
-    return forest.join(known, "id", "left").withColumn("component", F.coalesce("known", "id")).drop("known")
+    return dealt.groupBy("meeting").applyInPandas(compared, "a long, b long").distinct()
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose full sets reach the threshold."""
+
+    def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known: dict[int, np.ndarray] = {}
+
+        def set_of(ident: int, text: str) -> np.ndarray:
+            if ident not in known:
+                if len(known) >= 2_000:
+                    known.clear()
+                known[ident] = shingle_set(text)
+            return known[ident]
+
+        for batch in batches:
+            holds = []
+            for a, b, one, other in zip(batch["a"], batch["b"], batch["text"], batch["other_text"]):
+                x, y = set_of(a, one), set_of(b, other)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                holds.append(100 * both >= 85 * (len(x) + len(y) - both))
+            yield batch.loc[np.array(holds, dtype=bool), ["a", "b"]]
+
+    joined = pairs.join(texts.withColumnRenamed("id", "a"), "a").join(
+        texts.select(F.col("id").alias("b"), F.col("text").alias("other_text")), "b"
+    )
+    return joined.select("a", "b", "text", "other_text").mapInPandas(linked, "a long, b long")
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
@@ -181,24 +230,33 @@ def link_documents(docs: DataFrame) -> DataFrame:
         "texts",
     )
 
-    def forest(first: int, last: int, found: DataFrame, regions: bool = False) -> DataFrame:
-        """Texts in trees first..last-1, with their components so far."""
-        columns = ["id", "component", "n_shingles", *(["regions"] if regions else [])]
-        trees = F.arrays_zip(F.slice("regions", first + 1, last - first).alias("region"), F.slice("deeper", first + 1, last - first).alias("deeper"))
-        return with_components(texts, found).select(*columns, F.posexplode(trees).alias("at", "tree_of")).select(
-            *columns, (F.col("at") + first).alias("tree"), "tree_of.region", "tree_of.deeper"
-        )
+    trees = F.posexplode(F.arrays_zip(F.col("regions").alias("region"), F.col("deeper").alias("deeper"))).alias("tree", "place")
+    forest = texts.select("id", "n_shingles", trees).select("id", "n_shingles", "tree", "place.region", "place.deeper")
+    adjacent = scratch.keep(neighbours(forest), "neighbours")
+    close = adjacent.where((F.col("a") != F.col("b")) & may_link(F.col("a_size"), F.col("b_size")))
+    ends = adjacent.where("a <> b").select(F.col("a").alias("id")).union(adjacent.where("a <> b").select("b")).distinct()
+    # Regions cut by a partition have an end that may stand beside a text beyond it.
+    ends = ends.union(adjacent.where("a = b").select("a")).distinct()
+    stored = scratch.keep(docs.join(ends, "id", "left_semi").dropDuplicates(["id"]), "candidates")
+
+    def joined(found: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
+        pairs = scratch.keep(pairs, f"{name}-pairs")
+        return merged(found, scratch.keep(confirmed(pairs, stored), f"{name}-links"), scratch, name)
 
     found = docs.sparkSession.createDataFrame([], "node long, component long")
-    steps = {
-        "neighbours": lambda found: neighbours(forest(0, FIRST_TREES, found)),
-        "more-neighbours": lambda found: neighbours(forest(FIRST_TREES, TREES, found)),
-        "across": lambda found: across_components(forest(0, TREES, found, regions=True)),
-    }
-    for name, candidates in steps.items():
-        pairs = scratch.keep(candidates(found), f"{name}-pairs")
-        links = scratch.keep(confirmed(pairs, docs), f"{name}-links")
-        found = merged(found, links, scratch, name)
+    first = ordered(close.where(F.col("tree") < FIRST_TREES))
+    found = joined(found, first, "first")
+    found = joined(found, ordered(apart(close, found)).exceptAll(first), "more")
+    open_regions = apart(adjacent, found).select("tree", "region").union(adjacent.where("a = b").select("tree", "region"))
+    open_regions = scratch.keep(open_regions.distinct(), "open")
+    members = forest.join(open_regions, ["tree", "region"]).select("tree", "region", "id", "n_shingles")
+    members = scratch.keep(members, "members")
+    sizes = members.groupBy("tree", "region").agg(F.count("*").alias("region_size")).where("region_size > 1")
+    known = found.select(F.col("node").alias("id"), "component")
+    in_open = members.join(sizes, ["tree", "region"])
+    sketched = scratch.keep(sketches(stored.join(members.select("id").distinct(), "id", "left_semi")), "sketches")
+    whole = in_open.join(sketched, "id").join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    found = joined(found, across_components(whole), "across")
 
     members = texts.select("set_key", F.col("id").alias("set_id"))
     reached = profiled.select("id", "n_shingles", "set_key").join(members, "set_key", "left").withColumn("set_id", F.coalesce("set_id", "id"))
