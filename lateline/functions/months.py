@@ -37,6 +37,11 @@ def next_month(month: str) -> str:
     return f"{year + n // 12}-{n % 12 + 1:02d}"
 
 
+def previous_month(month: str) -> str:
+    year, n = map(int, check_month(month).split("-"))
+    return f"{year - (n == 1)}-{(n - 2) % 12 + 1:02d}"
+
+
 def month_bounds_ns(month: str) -> tuple[int, int]:
     """First and last nanosecond of the month, both inclusive, in UTC."""
 
@@ -52,5 +57,4 @@ def resolve_month(month: str | None, *, scheduled_on: date | None = None) -> str
         return check_month(month)
     if scheduled_on is None:
         raise ValueError("a run started by hand needs an explicit month")
-    year, n = scheduled_on.year, scheduled_on.month
-    return f"{year - (n == 1)}-{(n - 2) % 12 + 1:02d}"
+    return previous_month(f"{scheduled_on:%Y-%m}")

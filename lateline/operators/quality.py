@@ -81,9 +81,9 @@ def repeated_keys(table: DataFrame, key: Sequence[str]) -> DataFrame:
     return table.groupBy(*key).agg(F.count("*").alias("row_count")).where(F.col("row_count") > 1)
 
 
-def _count_as_check(failing: DataFrame, name: str) -> DataFrame:
+def _count_as_check(failing: DataFrame, name: str, severity: str = ERROR) -> DataFrame:
     return failing.agg(
-        F.lit(name).alias("check"), F.lit(ERROR).alias("severity"), F.count("*").alias("failing_rows")
+        F.lit(name).alias("check"), F.lit(severity).alias("severity"), F.count("*").alias("failing_rows")
     )
 
 
@@ -92,9 +92,20 @@ def unique(table: DataFrame, column: str) -> DataFrame:
     return _count_as_check(repeated_keys(table.where(F.col(column).isNotNull()), [column]), f"unique:{column}")
 
 
-def unique_grain(table: DataFrame, key: Sequence[str]) -> DataFrame:
+def ids_loaded_before(fresh: DataFrame, others: DataFrame) -> DataFrame:
+    """Ids of newly loaded rows that other months hold too.
+
+    The new months are the small side, so Spark can send them, or a Bloom filter of them, to the scan of the others.
+    """
+    met = others.select("id").join(fresh.select("id").distinct(), "id", "left_semi")
+    return _count_as_check(met, "unique:id_across_months").select(
+        F.lit("raw_observations").alias("table_name"), "check", "severity", "failing_rows"
+    )
+
+
+def unique_grain(table: DataFrame, key: Sequence[str], severity: str = ERROR) -> DataFrame:
     """NULLs in a compound key are equal."""
-    return _count_as_check(repeated_keys(table, key), f"unique_grain:{'+'.join(key)}")
+    return _count_as_check(repeated_keys(table, key), f"unique_grain:{'+'.join(key)}", severity)
 
 
 @dataclass(frozen=True)
@@ -102,11 +113,13 @@ class TableChecks:
     rows: tuple[RowCheck, ...] = ()
     unique_columns: tuple[str, ...] = ()
     grain: tuple[str, ...] = ()
+    coarse_grain: tuple[str, ...] = ()  # may repeat, with a warning
 
 
 def table_checks(table: str) -> TableChecks:
     """The declared checks of each stored table."""
     mart = ["service_month", "observation_count", "eligible_for_ranking"]
+    era = "station_coverage_era"  # a month in which it changes has two rows for each key
     match table:
         case "raw_observations":
             return TableChecks(tuple(not_null(["id", "source_month"])), ("id",))
@@ -144,11 +157,11 @@ def table_checks(table: str) -> TableChecks:
         case "dim_service_month":
             return TableChecks(tuple(not_null(["service_month"])), ("service_month",))
         case "mart_monthly_station_perf":
-            return TableChecks(tuple(not_null(["eva", *mart])), grain=("eva", "service_month"))
+            key = ("eva", "service_month")
+            return TableChecks(tuple(not_null(["eva", *mart])), grain=(*key, era), coarse_grain=key)
         case "mart_monthly_line_perf":
-            return TableChecks(
-                tuple(not_null(["train_type", *mart])), grain=("train_type", "line_number", "service_month")
-            )
+            key = ("train_type", "line_number", "service_month")
+            return TableChecks(tuple(not_null(["train_type", *mart])), grain=(*key, era), coarse_grain=key)
     raise KeyError(table)
 
 
@@ -166,6 +179,8 @@ def audit(table: DataFrame, name: str, kinds: Sequence[str] | None = None) -> Da
         results += [unique(table, c) for c in declared.unique_columns]
     if declared.grain and wanted("unique_grain"):
         results.append(unique_grain(table, declared.grain))
+    if declared.coarse_grain and wanted("unique_grain"):
+        results.append(unique_grain(table, declared.coarse_grain, WARN))
     return _stack([r.select(F.lit(name).alias("table_name"), "check", "severity", "failing_rows") for r in results])
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from datetime import date
 
@@ -13,18 +14,30 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateline import contract
-from lateline.functions.months import expand_months
+from lateline.functions import observation as obs
+from lateline.functions.months import expand_months, next_month, previous_month
 from lateline.operators import marts as mart_models
 from lateline.operators import quality
 from lateline.operators.marts import Marts
 from lateline.operators.observations import dedup_latest, enrich
 from lateline.operators.staging import stage_observations, union_sources
-from lateline.sources.bronze import bronze_path, land_month, land_months, read_landed, scan_nanos_parquet
-from lateline.sources.raw import load_raw, read_raw, replace_months, write_raw
-from lateline.workspace import configure, size_shuffles, stored_bytes
+from lateline.sources.bronze import (
+    bronze_path,
+    land_month,
+    publish_months,
+    read_landed,
+    scan_nanos_parquet,
+    stage_months,
+    staging_folder,
+)
+from lateline.sources.raw import load_raw, read_raw, write_raw
+from lateline.workspace import configure, delete, folders, path_exists, replace_folder, sized_shuffles, stored_bytes
 
 logger = logging.getLogger(__name__)
 
+# How Spark says that files hold no Parquet.
+NOT_PARQUET = ("is not a Parquet file", "CANNOT_READ_FILE_FOOTER", "UNABLE_TO_INFER_SCHEMA")
+
 
 class GateFailed(RuntimeError):
     """A landed file does not meet the contract; nothing was loaded."""
@@ -54,9 +67,16 @@ class Store:
 
 def gate(spark: SparkSession, store: Store, month: str) -> tuple[bool, int]:
     """Whether the landed file passes, and its rows; a file that is missing or not Parquet has none."""
+    path = bronze_path(month, store.bronze)
+    if not path_exists(spark, path):
+        logger.error("%s: no file", month)
+        return False, 0
     try:
-        landed = scan_nanos_parquet(spark, bronze_path(month, store.bronze))
-    except (PySparkException, Py4JJavaError):
+        landed = scan_nanos_parquet(spark, path)
+    except (PySparkException, Py4JJavaError) as error:
+        # Only what says that the file isn't Parquet fails the gate; a storage that can't be read isn't a bad file.
+        if not any(sign in str(error) for sign in NOT_PARQUET):
+            raise
         logger.exception("%s: no readable file", month)
         return False, 0
     verdict = quality.gate_month(landed, month).first()
@@ -74,53 +94,150 @@ def require(audited: DataFrame) -> None:
         raise CheckFailed("; ".join(f"{r.table_name} {r.check}: {r.failing_rows}" for r in failed))
 
 
-def _replace(model: DataFrame, path: str) -> DataFrame:
-    model.write.mode("overwrite").parquet(path)
-    return model.sparkSession.read.parquet(path)
+@dataclass(frozen=True)
+class Staged:
+    """A run's tables beside the stored ones. They are audited there and moved into place when all of them are sound."""
+
+    spark: SparkSession
+    store: Store
+    folder: str
+
+    def path(self, name: str) -> str:
+        return f"{self.folder}/{name}"
+
+    def write(self, model: DataFrame, name: str, by: str | None = None) -> DataFrame:
+        writer = (model.hint("rebalance", by) if by else model).write
+        (writer.partitionBy(by) if by else writer).parquet(self.path(name))
+        return self.spark.read.schema(model.schema).parquet(self.path(name))
+
+    def stored(self, name: str, like: DataFrame) -> DataFrame:
+        """The table as it is now, empty if there is none."""
+        path = self.store.table(name)
+        if not path_exists(self.spark, path):
+            return like.limit(0)
+        return self.spark.read.schema(like.schema).parquet(path).select(*like.columns)
+
+    def publish(self, name: str, by: str | None = None, months: list[str] | None = None) -> None:
+        """Replaces a table, or its folders of the given months; a month without staged rows goes."""
+        if by is None or months is None:
+            replace_folder(self.spark, self.path(name), self.store.table(name))
+            return
+        there = set(folders(self.spark, self.path(name)))
+        for month in months:
+            folder = f"{by}={month}"
+            if folder in there:
+                replace_folder(self.spark, f"{self.path(name)}/{folder}", f"{self.store.table(name)}/{folder}")
+            else:
+                delete(self.spark, f"{self.store.table(name)}/{folder}")
+
+
+NAMES, LINES = ["eva", "station_name", "xml_station_name"], ["train_type", "line_number"]
+ENRICHED, STATION_NAMES, TRAIN_LINES = "int_observations_enriched", "station_names_by_month", "train_lines_by_month"
+MARTS = ("mart_monthly_station_perf", "mart_monthly_line_perf")
+
+
+def _months_between(table: DataFrame) -> list[str]:
+    """The service months of a table of rebuilt rows, a few for each month rebuilt."""
+    return sorted(str(r[0]) for r in table.select("service_month").distinct().collect() if r[0] is not None)
+
+
+def _around(service_months: list[str]) -> list[str]:
+    """Source months whose rows may fall into these service months: times are cut for one and rounded for the other."""
+    own = {m[:7] for m in service_months}
+    return sorted(own | {next_month(m) for m in own} | {previous_month(m) for m in own})
 
 
 def build_layers(
     spark: SparkSession, store: Store, months: list[str] | None, *, cutover: date = contract.COVERAGE_CUTOVER
 ) -> Marts:
-    """Staging to marts, with the checks of each layer before the next.
+    """Staging to marts: written aside, audited, then published, so a run that fails leaves the tables as they were.
+
+    With ``months`` only the rows of those source months are rebuilt, and the marts of every service month that these
+    rows, or the ones they replace, fall into; such a mart is made from all rows of the month, those of neighbouring
+    source months included. The result equals a full refresh, which ``None`` asks for: it replaces every table.
 
-    Raw ids must be unique over all months, so that check reads the whole column each time. Deduplication, enrichment
-    and marts never look across months, so only the given months are rebuilt; the result equals a full refresh, which
-    ``None`` asks for. Dimensions span all months and are made anew from two or three columns of the stored table.
+    What a run costs follows the months rebuilt. Ids must be unique over all months: those of the new months among
+    themselves, and by a semi-join against the others. Dimensions come from small tables of the distinct names and
+    lines of each source month.
     """
-    size_shuffles(spark, stored_bytes(spark, store.raw))
+    whole = months is None
     raw = read_raw(spark, store.raw)
-    require(quality.audit(raw, "raw_observations"))
-    if months is not None:
-        raw = raw.where(F.col("source_month").isin(months))
-    staged = stage_observations(raw)
-    unioned = union_sources(monthly=staged)
+    fresh_raw = raw if whole else raw.where(F.col("source_month").isin(months))
+    # Files may hold rows of a neighbouring month, so what is rebuilt is sized by a margin of two more months.
+    size = stored_bytes(spark, store.raw)
+    share = 1.0 if whole else min(1.0, (len(months) + 2) / max(1, len(folders(spark, store.raw))))
+    staged = Staged(spark, store, f"{store.root}/_staging/{uuid.uuid4().hex}")
+    try:
+        with sized_shuffles(spark, int(size * share)):
+            built, publish = _staged_layers(staged, raw, fresh_raw, months, cutover)
+            publish()
+    finally:
+        delete(spark, staged.folder)
+    return built()
+
+
+def _staged_layers(
+    staged: Staged, raw: DataFrame, fresh_raw: DataFrame, months: list[str] | None, cutover: date
+) -> tuple[Callable[[], Marts], Callable[[], None]]:
+    """Writes and audits all tables; returns how to read and how to publish them."""
+    spark, whole = staged.spark, months is None
+    require(quality.audit(fresh_raw, "raw_observations"))
+    if not whole:
+        others = raw.where(~F.col("source_month").isin(months))
+        require(quality.ids_loaded_before(fresh_raw, others))
+    prepared = stage_observations(fresh_raw)
+    unioned = union_sources(monthly=prepared)
     # Staging only renames and casts, so its ids are unique exactly if the raw ones are, which is settled above.
-    require(quality.audit_all({"staged": staged, "unioned": unioned}, ["not_null", "accepted_values"]))
+    require(quality.audit_all({"staged": prepared, "unioned": unioned}, ["not_null", "accepted_values"]))
 
-    def stored(model: DataFrame, name: str, month: str) -> DataFrame:
-        path = store.table(name)
-        replace_months(model, month, path, many=months is None or len(months) > 1)
-        return spark.read.schema(model.schema).parquet(path)
-
-    fresh = enrich(dedup_latest(unioned), cutover=cutover)
-    enriched = stored(fresh, "int_observations_enriched", "source_month")
-    rebuilt = enriched if months is None else enriched.where(F.col("source_month").isin(months))
+    rebuilt = staged.write(enrich(dedup_latest(unioned), cutover=cutover), ENRICHED, "source_month")
     require(quality.audit_all({"deduped": rebuilt, "enriched": rebuilt}))
-
-    names = ("mart_monthly_station_perf", "mart_monthly_line_perf")
-    station_perf, line_perf = [
-        stored(getattr(mart_models, name)(rebuilt), name, "service_month") for name in names
-    ]
-    built = Marts(
-        station_perf,
-        line_perf,
-        _replace(mart_models.dim_station(enriched), store.table("dim_station")),
-        _replace(mart_models.dim_train_line(enriched), store.table("dim_train_line")),
-        _replace(mart_models.dim_service_month(station_perf), store.table("dim_service_month")),
-    )
-    require(quality.audit_all(built.tables()))
-    return built
+    service_month = obs.service_month(F.col("service_date"))
+
+    def with_stored(fresh: DataFrame, name: str) -> DataFrame:
+        if whole:
+            return fresh
+        return staged.stored(name, fresh).where(~F.col("source_month").isin(months)).unionByName(fresh)
+
+    touched = None
+    rows = rebuilt
+    if not whole:
+        before = staged.stored(ENRICHED, rebuilt).where(F.col("source_month").isin(months))
+        touched = _months_between(rebuilt.unionByName(before).select(service_month.alias("service_month")))
+        near = with_stored(rebuilt, ENRICHED).where(F.col("source_month").isin(_around(touched)))
+        rows = near.where(service_month.cast("string").isin(touched))
+    marts = [staged.write(getattr(mart_models, name)(rows), name, "service_month") for name in MARTS]
+
+    small = {
+        STATION_NAMES: rebuilt.select("source_month", *NAMES).distinct(),
+        TRAIN_LINES: rebuilt.select("source_month", *LINES).distinct(),
+    }
+    names, lines = [with_stored(staged.write(t, name, "source_month"), name) for name, t in small.items()]
+    station_mart = marts[0]
+    if not whole:
+        kept = staged.stored(MARTS[0], station_mart).where(~F.col("service_month").cast("string").isin(touched))
+        station_mart = kept.unionByName(station_mart)
+    dimensions = {
+        "dim_station": staged.write(mart_models.dim_station(names), "dim_station"),
+        "dim_train_line": staged.write(mart_models.dim_train_line(lines), "dim_train_line"),
+        "dim_service_month": staged.write(mart_models.dim_service_month(station_mart), "dim_service_month"),
+    }
+    require(quality.audit_all({**dict(zip(MARTS, marts)), **dimensions}))
+    schemas = {**{name: m.schema for name, m in zip(MARTS, marts)}, **{name: d.schema for name, d in dimensions.items()}}
+
+    def publish() -> None:
+        for name in (ENRICHED, *small):
+            staged.publish(name, "source_month", months)
+        for name in MARTS:
+            staged.publish(name, "service_month", touched)
+        for name in dimensions:
+            staged.publish(name)
+
+    def built() -> Marts:
+        tables = [spark.read.schema(schemas[n]).parquet(staged.store.table(n)) for n in (*MARTS, *dimensions)]
+        return Marts(*tables)
+
+    return built, publish
 
 
 def run_months(
@@ -152,19 +269,32 @@ def run_months(
 
 
 def backfill(
-    observations: DataFrame, file_month: Column, store: Store, *, cutover: date = contract.COVERAGE_CUTOVER
+    observations: DataFrame,
+    file_month: Column,
+    store: Store,
+    *,
+    force: bool = False,
+    cutover: date = contract.COVERAGE_CUTOVER,
 ) -> DataFrame:
-    """All months of a release at once: one job lands them, one pass gates them, one job loads them.
+    """All months of a release at once: one job writes them aside, one pass gates them, one job loads them.
 
-    Reports the rows each month landed with and the stops left after deduplication.
+    Bronze is left alone unless all of them pass; months that have landed before stay unless forced. Reports the rows
+    each landed month has and the stops left after deduplication.
     """
     spark = configure(observations.sparkSession)
-    land_months(observations, file_month, store.bronze)
+    if observations.columns != contract.OBSERVATION_COLUMNS:
+        raise GateFailed(f"schema: {observations.columns}")
+    folder = staging_folder(store.bronze)
+    stage_months(observations, file_month, folder)
+    try:
+        failed = quality.gate_all_months(read_landed(spark, folder)).where(~F.col("passed"))
+        if months := sorted(str(r.month) for r in failed.select("month").collect()):
+            raise GateFailed(", ".join(months))
+        publish_months(spark, folder, store.bronze, force=force)
+    finally:
+        delete(spark, folder)
     filed = read_landed(spark, store.bronze)
     gated = quality.gate_all_months(filed)
-    failed = [r.month for r in gated.where(~F.col("passed")).select("month").collect()]
-    if failed:
-        raise GateFailed(", ".join(sorted(failed)))
     write_raw(filed.select(*contract.OBSERVATION_COLUMNS, F.col("source_month").alias("load_month")), store.raw)
     build_layers(spark, store, None, cutover=cutover)
     stops = (

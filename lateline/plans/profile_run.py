@@ -10,7 +10,7 @@ from lateline.operators import quality
 from lateline.plans import catalog, profiling
 from lateline.sources import sinks
 from lateline.sources.bronze import file_sizes, month_folder, read_landed
-from lateline.workspace import Workspace, size_shuffles, stored_bytes
+from lateline.workspace import Workspace, sized_shuffles, stored_bytes
 
 
 def month_schemas(spark: SparkSession, bronze_root: str, months: list[str]) -> DataFrame:
@@ -20,7 +20,6 @@ def month_schemas(spark: SparkSession, bronze_root: str, months: list[str]) -> D
 
 def profile_reports(spark: SparkSession, bronze_root: str, space: Workspace) -> dict[str, DataFrame]:
     """The exported reports. Those made of plain counters share one scan, whose result is stored first."""
-    size_shuffles(spark, stored_bytes(spark, bronze_root))
     filed = read_landed(spark, bronze_root)
     counters = space.table("profile_counters", lambda: profiling.monthly_counters(filed))
     months = sorted(r[profiling.MONTH] for r in counters.select(profiling.MONTH).collect())
@@ -43,7 +42,6 @@ def profile_reports(spark: SparkSession, bronze_root: str, space: Workspace) ->
 
 
 def catalog_tables(spark: SparkSession, bronze_root: str) -> dict[str, DataFrame]:
-    size_shuffles(spark, stored_bytes(spark, bronze_root))
     filed = read_landed(spark, bronze_root)
     summary = profiling.dataset_summary(filed, file_sizes(spark, bronze_root))
     months = sorted(r.source_month for r in summary.select("source_month").collect())
@@ -61,12 +59,13 @@ def catalog_tables(spark: SparkSession, bronze_root: str) -> dict[str, DataFrame
 
 
 def export_profile(spark: SparkSession, bronze_root: str, out_root: str, space: Workspace) -> None:
-    sinks.export_reports(profile_reports(spark, bronze_root, space), out_root)
+    with sized_shuffles(spark, stored_bytes(spark, bronze_root)):
+        sinks.export_reports(profile_reports(spark, bronze_root, space), out_root)
 
 
 def export_catalog(spark: SparkSession, bronze_root: str, out_root: str) -> None:
     """The tables, and the catalog once more as nested JSON."""
-    tables = catalog_tables(spark, bronze_root)
-    sinks.export_reports(tables, out_root)
+    with sized_shuffles(spark, stored_bytes(spark, bronze_root)):
+        sinks.export_reports(catalog_tables(spark, bronze_root), out_root)
     stored = {name: spark.read.parquet(f"{out_root}/{name}_parquet") for name in ("column_catalog", "dataset_catalog")}
     sinks.export_json(catalog.catalog_document(**stored), f"{out_root}/catalog_json")

@@ -1,12 +1,15 @@
 """The profiling reports and the catalog.
 
-Reports take the month a file stands for, as they would over monthly files. Sketch-based distinct counts have no SQL
-to compare with; each such report is registered a second time with exact counts, which has.
+Reports take the month a file stands for, as they would over monthly files. Reports with sketched distinct counts return
+the exact ones and whether the sketches lie near them; each is registered once more with exact counts alone.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lateline import contract
@@ -142,32 +145,80 @@ def _sizes(s: Shop) -> DataFrame:
     return file_sizes(s.spark, s.bronze_root)
 
 
-register("monthly_overview", lambda s: micros(profiling.monthly_overview(s.filed, _sizes(s)), SPAN))
+def _beside_exact(report: Callable[..., DataFrame], keys: list[str], *sketched: str) -> Callable[[Shop], DataFrame]:
+    """The exact report, and whether every sketched count lies within five percent, or two, of the exact one."""
+
+    def build(s: Shop) -> DataFrame:
+        exact, sketch = report(s, True), report(s, False)
+        near = sketch.select(*keys, *[F.col(c).alias(f"near_{c}") for c in sketched])
+        pairs = [(F.col(c.replace("approx_", "")), F.col(f"near_{c}")) for c in sketched]
+        within = [F.abs(true - near_by) <= F.greatest(F.lit(2), true * 0.05) for true, near_by in pairs]
+        held = reduce(Column.__and__, within).alias("sketch_within_bound")
+        return exact.join(near, keys).select(*exact.columns, held)
+
+    return build
+
+
+def _overview(s: Shop, exact: bool) -> DataFrame:
+    return micros(profiling.monthly_overview(s.filed, _sizes(s), exact=exact), SPAN)
+
+
+OVERVIEW_COUNTS = ["approx_distinct_eva", "approx_distinct_rides", "approx_distinct_train_numbers"]
+OVERVIEW_SQL = by_month(
+    f"""count(*) AS row_count, {SPAN_SQL}, {DATES_SQL}, count(DISTINCT eva) AS distinct_eva,
+        count(DISTINCT train_line_ride_id) AS distinct_rides, count(DISTINCT train_number) AS distinct_train_numbers,
+        count(*) FILTER (is_canceled) AS canceled_rows,
+        round(100.0 * count(*) FILTER (is_canceled) / count(*), 4) AS cancellation_rate_pct"""
+)
+SIZED = "'data-' || source_month || '.parquet' AS file_name, true AS file_has_size"
+
+
+def _file_has_size(report: DataFrame) -> DataFrame:
+    """The size itself depends on the writer; that there is one does not, though small files round to zero."""
+    return report.withColumn("file_has_size", F.col("file_size_mb") >= 0).drop("file_size_mb")
+
+
+register(
+    "monthly_overview",
+    lambda s: _file_has_size(_beside_exact(_overview, ["source_month"], *OVERVIEW_COUNTS)(s)),
+    f"SELECT *, {SIZED}, true AS sketch_within_bound FROM ({OVERVIEW_SQL})",
+)
 register(
     "monthly_overview_exact",
     lambda s: micros(profiling.monthly_overview(s.filed, exact=True), SPAN),
-    by_month(
-        f"""count(*) AS row_count, {SPAN_SQL}, {DATES_SQL}, count(DISTINCT eva) AS distinct_eva,
-            count(DISTINCT train_line_ride_id) AS distinct_rides, count(DISTINCT train_number) AS distinct_train_numbers,
-            count(*) FILTER (is_canceled) AS canceled_rows,
-            round(100.0 * count(*) FILTER (is_canceled) / count(*), 4) AS cancellation_rate_pct"""
+    OVERVIEW_SQL,
+)
+SCOPE_SQL = f"""SELECT count(*) AS row_count, {SPAN_SQL}, {DATES_SQL}, count(DISTINCT eva) AS distinct_eva,
+                       count(DISTINCT train_line_ride_id) AS distinct_rides FROM {FILED}"""
+register(
+    "total_scope_summary",
+    _beside_exact(
+        lambda s, exact: micros(profiling.total_scope_summary(s.filed, exact=exact), SPAN),
+        ["row_count"], "approx_distinct_eva", "approx_distinct_rides",
     ),
+    f"SELECT *, true AS sketch_within_bound FROM ({SCOPE_SQL})",
 )
-register("total_scope_summary", lambda s: micros(profiling.total_scope_summary(s.filed), SPAN))
 register(
     "total_scope_summary_exact",
     lambda s: micros(profiling.total_scope_summary(s.filed, exact=True), SPAN),
-    f"""SELECT count(*) AS row_count, {SPAN_SQL}, {DATES_SQL}, count(DISTINCT eva) AS distinct_eva,
-               count(DISTINCT train_line_ride_id) AS distinct_rides FROM {FILED}""",
+    SCOPE_SQL,
+)
+CARDINALITY_SQL = "\nUNION ALL ".join(
+    f"SELECT source_month, '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count FROM {FILED} GROUP BY source_month"
+    for c in profiling.CARDINALITY_COLUMNS
+)
+register(
+    "cardinality_profile",
+    _beside_exact(
+        lambda s, exact: profiling.cardinality_profile(s.filed, exact=exact),
+        ["source_month", "column_name"], "approx_distinct_count",
+    ),
+    f"SELECT *, true AS sketch_within_bound FROM ({CARDINALITY_SQL})",
 )
-register("cardinality_profile", lambda s: profiling.cardinality_profile(s.filed))
 register(
     "cardinality_profile_exact",
     lambda s: profiling.cardinality_profile(s.filed, exact=True),
-    "\nUNION ALL ".join(
-        f"SELECT source_month, '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count FROM {FILED} GROUP BY source_month"
-        for c in profiling.CARDINALITY_COLUMNS
-    ),
+    CARDINALITY_SQL,
 )
 register(
     "top_train_types",
@@ -256,13 +307,20 @@ register(
                is_canceled, {STAMPED} FROM {FILED} WHERE train_line_ride_id = '16' AND train_line_station_num = 3""",
 )
 SAME = ", ".join(f'"{c}"' for c in contract.OBSERVATION_COLUMNS if c != "id")
+def _published_twice(s: Shop) -> DataFrame:
+    """The data has no semantic duplicates, so canceled rows come once more under another id."""
+    again = s.filed.where("is_canceled").withColumn("id", F.concat("id", F.lit("-again")))
+    return s.filed.unionByName(again)
+
+
+TWICE = f"(SELECT * FROM {FILED} UNION ALL SELECT * FROM {FILED} WHERE is_canceled)"
 register(
     "semantic_duplicate_summary",
-    lambda s: profiling.semantic_duplicate_summary(s.filed),
+    lambda s: profiling.semantic_duplicate_summary(_published_twice(s)),
     by_month(
         """count(*) AS semantic_duplicate_groups, CAST(sum(n) AS BIGINT) AS rows_in_semantic_duplicate_groups,
            CAST(sum(n - 1) AS BIGINT) AS semantic_duplicate_excess_rows""",
-        f"(SELECT source_month, {SAME}, count(*) AS n FROM {FILED} GROUP BY source_month, {SAME})",
+        f"(SELECT source_month, {SAME}, count(*) AS n FROM {TWICE} GROUP BY source_month, {SAME})",
         "WHERE n > 1",
     ),
 )
@@ -349,18 +407,31 @@ register(
 DAILY = f"""SELECT source_month, CAST({T} AS DATE) AS service_date_profile, count(*) AS row_count,
                    count(DISTINCT eva) AS distinct_eva, count(*) FILTER (is_canceled) AS canceled_rows
             FROM {FILED} GROUP BY 1, 2"""
-register("daily_coverage", lambda s: profiling.daily_coverage(s.filed))
+register(
+    "daily_coverage",
+    _beside_exact(
+        lambda s, exact: profiling.daily_coverage(s.filed, exact=exact),
+        ["source_month", "service_date_profile"], "approx_distinct_eva",
+    ),
+    f"SELECT *, true AS sketch_within_bound FROM ({DAILY})",
+)
 register("daily_coverage_exact", lambda s: profiling.daily_coverage(s.filed, exact=True), DAILY)
+DAILY_SUMMARY = f"""SELECT source_month, count(service_date_profile) AS distinct_service_dates, min(row_count) AS minimum_daily_rows,
+               round(avg(row_count), 2) AS average_daily_rows, max(row_count) AS maximum_daily_rows,
+               min(distinct_eva) AS minimum_daily_eva, max(distinct_eva) AS maximum_daily_eva
+        FROM ({DAILY}) GROUP BY source_month"""
 register(
-    "daily_coverage_summary", lambda s: profiling.daily_coverage_summary(profiling.daily_coverage(s.filed))
+    "daily_coverage_summary",
+    _beside_exact(
+        lambda s, exact: profiling.daily_coverage_summary(profiling.daily_coverage(s.filed, exact=exact)),
+        ["source_month"], "minimum_daily_approx_eva", "maximum_daily_approx_eva",
+    ),
+    f"SELECT *, true AS sketch_within_bound FROM ({DAILY_SUMMARY})",
 )
 register(
     "daily_coverage_summary_exact",
     lambda s: profiling.daily_coverage_summary(profiling.daily_coverage(s.filed, exact=True)),
-    f"""SELECT source_month, count(service_date_profile) AS distinct_service_dates, min(row_count) AS minimum_daily_rows,
-               round(avg(row_count), 2) AS average_daily_rows, max(row_count) AS maximum_daily_rows,
-               min(distinct_eva) AS minimum_daily_eva, max(distinct_eva) AS maximum_daily_eva
-        FROM ({DAILY}) GROUP BY source_month""",
+    DAILY_SUMMARY,
 )
 register(
     "hour_coverage",
@@ -377,7 +448,11 @@ register(
 )
 SUMMARY = by_month(f"count(*) AS row_count, 17 AS column_count, {SPAN_SQL}, {DATES_SQL}")
 register("dataset_summary", lambda s: micros(profiling.dataset_summary(s.filed), SPAN), SUMMARY)
-register("dataset_summary_with_sizes", lambda s: micros(profiling.dataset_summary(s.filed, _sizes(s)), SPAN))
+register(
+    "dataset_summary_with_sizes",
+    lambda s: _file_has_size(micros(profiling.dataset_summary(s.filed, _sizes(s)), SPAN)),
+    f"SELECT *, {SIZED} FROM ({SUMMARY})",
+)
 
 # --- schemas and catalog ------------------------------------------------------------------------------------
 
@@ -412,7 +487,7 @@ register(
     "dataset_catalog",
     lambda s: catalog.dataset_catalog(
         profiling.dataset_summary(s.filed),
-        quality.key_verdicts(quality.key_assessment(s.filed, quality.KEY_CANDIDATES[:1])),
+        quality.key_verdicts(quality.key_assessment(s.filed)),
     ),
     f"""WITH summary AS ({SUMMARY}),
              ids AS (SELECT max(n) = 1 AS sound FROM (SELECT count(*) AS n FROM filed GROUP BY file_month, id))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,8 +18,9 @@ from lateline.operators.observations import add_calendar, add_delay, dedup_lates
 from lateline.operators.staging import decode_times, stage_observations, tag_source, union_sources
 from lateline.plans import monthly_run, profiling
 from lateline.registry import adapter
-from lateline.registry.catalogue import register
+from lateline.registry.catalogue import QUERIES, Query, register
 from lateline.registry.shop import Shop
+from lateline.registry.sql import WAREHOUSE
 from lateline.sources import bronze, raw, sinks
 
 TIMES = contract.TIME_COLUMNS
@@ -99,31 +102,52 @@ register(
 )
 
 
+PERCENTILE_COLUMN = "delay_percentiles_p01_p05_p25_p50_p75_p90_p95_p99"
+
+
 def _exported(s: Shop) -> DataFrame:
     """A report written as Parquet and CSV, read back from the CSV."""
     root = s.space.path("reports")
     sinks.export_report(profiling.delay_profile(s.raw), "delay_profile", root)
     back = s.spark.read.option("header", True).csv(f"{root}/delay_profile_csv")
-    return back.select("source_month", "non_canceled_rows", "delay_percentiles_p01_p05_p25_p50_p75_p90_p95_p99")
+    stored = s.spark.read.parquet(f"{root}/delay_profile_parquet")
+    # All other columns as numbers, so that both engines' ways to write a number don't matter.
+    numbers = [c for c in back.columns if c not in ("source_month", PERCENTILE_COLUMN)]
+    if back.columns != stored.columns:
+        raise ValueError("the CSV lacks columns of the Parquet file")
+    return back.select("source_month", PERCENTILE_COLUMN, *[F.col(c).cast("double").alias(c) for c in numbers])
 
 
 register(
     "export_report",
     _exported,
-    f"""SELECT source_month, CAST(count(*) AS VARCHAR) AS non_canceled_rows,
-               array_to_string(quantile_disc(delay_in_min, {contract.PROFILE_PERCENTILES}), ',')
-                 AS delay_percentiles_p01_p05_p25_p50_p75_p90_p95_p99
+    f"""SELECT source_month, CAST(count(*) AS DOUBLE) AS non_canceled_rows,
+               CAST(min(delay_in_min) AS DOUBLE) AS minimum_delay_min, CAST(max(delay_in_min) AS DOUBLE) AS maximum_delay_min,
+               round(avg(delay_in_min), 4) AS average_delay_min, round(stddev_samp(delay_in_min), 4) AS stddev_delay_min,
+               array_to_string(quantile_disc(delay_in_min, {contract.PROFILE_PERCENTILES}), ',') AS {PERCENTILE_COLUMN},
+               CAST(count(*) FILTER (delay_in_min < 0) AS DOUBLE) AS negative_delay_rows,
+               CAST(count(*) FILTER (delay_in_min = 0) AS DOUBLE) AS zero_delay_rows,
+               {", ".join(f"CAST(count(*) FILTER (delay_in_min >= {b}) AS DOUBLE) AS delay_ge_{b}_min_rows" for b in contract.DELAY_BANDS_MIN)}
         FROM raw WHERE NOT is_canceled GROUP BY source_month""",
 )
 
 
 def _exported_marts(s: Shop) -> DataFrame:
-    root = s.space.path("mart_csv")
-    sinks.export_tables_csv(s.marts.tables(), root)
-    return s.spark.read.schema(s.marts.dim_station.schema).option("header", True).csv(f"{root}/dim_station")
-
-
-register("export_marts_csv", _exported_marts, "SELECT * FROM dim_station")
+    """All five tables written as CSV, read back and stacked; a table has NULL in the columns of the others."""
+    root, tables = s.space.path("mart_csv"), s.marts.tables()
+    sinks.export_tables_csv(tables, root)
+    back = [
+        rounded(s.spark.read.schema(table.schema).option("header", True).csv(f"{root}/{name}"),
+                [c for c in MEASURED if c in table.columns]).withColumn("table_name", F.lit(name))
+        for name, table in tables.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), back)
+
+
+MART_SOURCES = {
+    "mart_monthly_station_perf": "station_perf", "mart_monthly_line_perf": "line_perf", "dim_station": "dim_station",
+    "dim_train_line": "dim_train_line", "dim_service_month": "dim_service_month",
+}
 
 # --- staging ------------------------------------------------------------------------------------------------
 
@@ -303,6 +327,14 @@ MEASURED = [
 ]
 ROUNDED = ", ".join(f"round({c}, 6) AS {c}" for c in MEASURED)
 
+register(
+    "export_marts_csv",
+    _exported_marts,
+    " UNION ALL BY NAME ".join(
+        f"SELECT *{f' REPLACE ({ROUNDED})' if source.endswith('_perf') else ''}, '{name}' AS table_name FROM {source}"
+        for name, source in MART_SOURCES.items()
+    ),
+)
 register(
     "mart_monthly_station_perf",
     lambda s: rounded(models.mart_monthly_station_perf(s.enriched), MEASURED),
@@ -319,6 +351,40 @@ register(
     "dim_service_month", lambda s: models.dim_service_month(s.marts.station_perf), "SELECT * FROM dim_service_month"
 )
 
+RELOADED, LATE = "1997-02", "1997-03"
+#: Late in the last second of a minute: rows of a month's last minute are rounded into the next month.
+SHIFT_NS = 59_700_000_000
+
+
+def _reloaded(s: Shop) -> DataFrame:
+    """Both marts after a load, a reload and a late load. Shifted times carry rows across the ends of months.
+
+    At first one month holds every other row only and the next one is absent. The one is then loaded again as it should
+    be, and the other comes late; each time only their rows and the marts they touch are rebuilt.
+    """
+    rows = adapter.order_line_observations(s.spark, s.sf_dir).withColumn("time", F.col("time") + SHIFT_NS)
+    rows = rows.withColumn("load_month", obs.month_of(obs.decode_ns_truncated(F.col("time"))))
+    store = monthly_run.Store(f"{s.space.path('reloaded')}-{uuid.uuid4().hex[:8]}")
+    month = F.col("load_month")
+    halved = (month == RELOADED) & (F.col("train_line_station_num") % 2 == 0)
+    raw.write_raw(rows.where((month != LATE) & ~halved), store.raw)
+    monthly_run.build_layers(s.spark, store, None, cutover=adapter.CUTOVER)
+    for late in (RELOADED, LATE):
+        raw.write_raw(rows.where(month == late), store.raw, many=False)
+        marts = monthly_run.build_layers(s.spark, store, [late], cutover=adapter.CUTOVER)
+    by_line = marts.line_perf.withColumn("key", F.concat_ws("|", "train_type", "line_number")).drop("train_type", "line_number")
+    return rounded(marts.station_perf.withColumnRenamed("eva", "key").unionByName(by_line), MEASURED)
+
+
+RELOADED_SQL = (
+    WAREHOUSE.replace('planned + delay * 60000000000 AS "time"', f'planned + delay * 60000000000 + {SHIFT_NS} AS "time"')
+    + f"""SELECT * REPLACE ({ROUNDED}) FROM (
+            SELECT eva AS key, * EXCLUDE (eva) FROM station_perf
+            UNION ALL BY NAME
+            SELECT concat_ws('|', train_type, line_number) AS key, * EXCLUDE (train_type, line_number) FROM line_perf)"""
+)
+QUERIES["reloaded_marts"] = Query(_reloaded, RELOADED_SQL)
+
 # --- audits -------------------------------------------------------------------------------------------------
 
 
@@ -434,8 +500,14 @@ register(
         for table, source, key in [
             ("deduped", "deduped", contract.STOP_KEY),
             ("dim_train_line", "dim_train_line", ["train_type", "line_number"]),
-            ("mart_monthly_station_perf", "station_perf", ["eva", "service_month"]),
-            ("mart_monthly_line_perf", "line_perf", ["train_type", "line_number", "service_month"]),
+            *[
+                (table, source, [*key, *era])
+                for table, source, key in [
+                    ("mart_monthly_station_perf", "station_perf", ["eva", "service_month"]),
+                    ("mart_monthly_line_perf", "line_perf", ["train_type", "line_number", "service_month"]),
+                ]
+                for era in ([], ["station_coverage_era"])
+            ],
         ]
     ),
 )
@@ -533,7 +605,8 @@ def _backfilled(s: Shop) -> DataFrame:
     """The whole job from landing to marts, with rows filed under the month of their own time so that the gate passes."""
     own_month = obs.month_of(obs.decode_ns_truncated(F.col("time")))
     store = monthly_run.Store(s.space.path("backfill"))
-    return monthly_run.backfill(adapter.order_line_observations(s.spark, s.sf_dir), own_month, store)
+    rows = adapter.order_line_observations(s.spark, s.sf_dir)
+    return monthly_run.backfill(rows, own_month, store, force=True, cutover=adapter.CUTOVER)
 
 
 register(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import types as T
 
 from lateline.contract import OBSERVATION_COLUMNS, OBSERVATION_SCHEMA
 from lateline.functions.months import check_month
-from lateline.workspace import configure, path_exists
+from lateline.workspace import configure, delete, folders, path_exists, replace_folder
 
 BRONZE_PREFIX = "bronze/monthly-raw"
 
@@ -82,9 +83,11 @@ def file_sizes(spark: SparkSession, *paths: str) -> DataFrame:
 
 
 def land_month(spark: SparkSession, source: str, month: str, root: str, *, force: bool = False) -> bool:
-    """Copies one month to Bronze unchanged. A month that is already there stays unless forced.
+    """Lands one month in Bronze, values and columns unchanged. A month that is already there stays unless forced.
 
-    A folder counts as landed once its commit marker is there, so a landing that broke off is done again.
+    Spark writes the rows anew, as a folder; nanosecond times keep their numbers but lose the annotation of their type,
+    which Spark can't write. A folder counts as landed once its commit marker is there, so a landing that broke off is
+    done again.
     """
     target = bronze_path(month, root)
     if not force and path_exists(spark, f"{target}/_SUCCESS"):
@@ -93,8 +96,8 @@ def land_month(spark: SparkSession, source: str, month: str, root: str, *, force
     return True
 
 
-def land_months(observations: DataFrame, file_month: Column, root: str) -> None:
-    """Lands many months in one job.
+def stage_months(observations: DataFrame, file_month: Column, folder: str) -> None:
+    """Writes many months in one job, away from Bronze.
 
     The rebalance hint lets the adaptive plan cut a month that holds most of the rows into several files and put
     small months together in one task, so neither one huge task nor tasks x months small files come out.
@@ -103,7 +106,38 @@ def land_months(observations: DataFrame, file_month: Column, root: str) -> None:
     (
         observations.select(*OBSERVATION_COLUMNS, parts[0].alias("year"), parts[1].alias("month"))
         .hint("rebalance", "year", "month")
-        .write.mode("overwrite")
-        .partitionBy("year", "month")
-        .parquet(root)
+        .write.partitionBy("year", "month")
+        .parquet(folder)
     )
+
+
+def staged_months(spark: SparkSession, folder: str) -> list[str]:
+    return [
+        f"{year.removeprefix('year=')}-{month.removeprefix('month=')}"
+        for year in folders(spark, folder)
+        for month in folders(spark, f"{folder}/{year}")
+    ]
+
+
+def publish_months(spark: SparkSession, folder: str, root: str, *, force: bool = False) -> list[str]:
+    """Moves staged months into Bronze: those that aren't there, and with ``force`` in the place of those that are."""
+    moved = []
+    for month in staged_months(spark, folder):
+        if force or not path_exists(spark, month_folder(root, month)):
+            replace_folder(spark, month_folder(folder, month), month_folder(root, month))
+            moved.append(month)
+    delete(spark, folder)
+    return moved
+
+
+def land_months(observations: DataFrame, file_month: Column, root: str, *, force: bool = False) -> list[str]:
+    """Lands many months in one job and returns those it landed. Other months, and landed ones unless forced, stay."""
+    spark = observations.sparkSession
+    folder = staging_folder(root)
+    stage_months(observations, file_month, folder)
+    return publish_months(spark, folder, root, force=force)
+
+
+def staging_folder(root: str) -> str:
+    """A new folder beside a table; readers of the table don't see it."""
+    return f"{root}.staging/{uuid.uuid4().hex}"

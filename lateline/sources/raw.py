@@ -9,7 +9,7 @@ from lateline.contract import OBSERVATION_COLUMNS, RAW_SCHEMA
 from lateline.functions.months import check_month
 from lateline.functions.observation import decode_ns_truncated, month_of
 from lateline.sources.bronze import bronze_path, scan_nanos_parquet
-from lateline.workspace import configure, path_exists
+from lateline.workspace import configure, delete, path_exists
 
 
 def project_contract(observations: DataFrame) -> DataFrame:
@@ -58,6 +58,14 @@ def write_raw(observations: DataFrame, root: str, *, many: bool = True) -> None:
     replace_months(rows, "load_month", root, many=many)
 
 
+def delete_month(spark: SparkSession, root: str, month: str) -> bool:
+    """Takes a loaded month out of the stored table; whether it was there."""
+    folder = f"{root}/load_month={check_month(month)}"
+    found = path_exists(spark, folder)
+    delete(spark, folder)
+    return found
+
+
 def count_month(spark: SparkSession, root: str, month: str) -> int:
     return read_raw(spark, root).where((F.col("load_month") == month) & (F.col("source_month") == month)).count()
 

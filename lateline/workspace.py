@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import threading
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,31 +37,62 @@ def shared_root(spark: SparkSession) -> str:
     return _local_root.name
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def _located(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _located(spark, path)
+    return files.exists(target)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a path."""
+    files, target = _located(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(target) if f.isDirectory()) if files.exists(target) else []
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    files, target = _located(spark, path)
+    files.delete(target, True)
+
+
+def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
+    """Puts a staged folder in the place of another one. File systems rename; object stores copy."""
+    files, source = _located(spark, staged)
+    _, goal = _located(spark, target)
+    old = _located(spark, f"{goal.getParent()}/_old-{goal.getName()}")[1]  # readers of the parent don't see it
+    files.mkdirs(goal.getParent())
+    files.delete(old, True)
+    if files.exists(goal) and not files.rename(goal, old):
+        raise OSError(f"can't move {target} aside")
+    if not files.rename(source, goal):
+        files.rename(old, goal)
+        raise OSError(f"can't move {staged} to {target}")
+    files.delete(old, True)
 
 
 def stored_bytes(spark: SparkSession, *paths: str) -> int:
     """Size of files or folders, from the file system's own summary; missing ones have none."""
-    total = 0
-    for path in paths:
-        target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        total += files.getContentSummary(target).getLength() if files.exists(target) else 0
-    return total
+    found = [_located(spark, path) for path in paths]
+    return sum(files.getContentSummary(target).getLength() for files, target in found if files.exists(target))
 
 
-def size_shuffles(spark: SparkSession, input_bytes: int, per_partition: int = 256 << 20, most: int = 32_768) -> int:
-    """Raises the shuffle partitions to suit the input; never lowers what the session has.
+@contextmanager
+def sized_shuffles(spark: SparkSession, input_bytes: int, per_partition: int = 256 << 20) -> Iterator[int]:
+    """Shuffle partitions to suit the input while a job runs: at least what the session has, and as before afterwards.
 
     Adaptive plans merge partitions that turn out small but cannot cut finer than they began, so the default of 200
-    would leave half a terabyte to each reducer of a 100 TB shuffle. Beyond ``most`` the driver's bookkeeping of
-    map outputs costs more than larger, spilling partitions do.
+    would leave half a terabyte to each reducer of a 100 TB shuffle.
     """
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), min(-(-input_bytes // per_partition), most))
-    spark.conf.set("spark.sql.shuffle.partitions", partitions)
-    return partitions
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, max(int(before), -(-input_bytes // per_partition)))
+    try:
+        yield int(spark.conf.get(key))
+    finally:
+        spark.conf.set(key, before)
 
 
 class Workspace:

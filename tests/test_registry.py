@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as entry
 from lateline.plans.reports import REPORTS
 from lateline.registry.shop import shop
-from lateline.workspace import Workspace, path_exists, shared_root, size_shuffles, stored_bytes
+from lateline.workspace import Workspace, path_exists, shared_root, sized_shuffles, stored_bytes
 from oracle_check import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -56,11 +56,11 @@ def test_shuffles_grow_with_the_input(spark, tmp_path):
     (tmp_path / "a").mkdir()
     (tmp_path / "a" / "b").write_bytes(b"x" * 1000)
     assert stored_bytes(spark, str(tmp_path), str(tmp_path / "absent")) == 1000
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        assert size_shuffles(spark, 1000) == int(before)
-        assert size_shuffles(spark, 10 * (256 << 20) + 1) == 11
-        assert size_shuffles(spark, 1000) == 11
-        assert size_shuffles(spark, 10**14) == 32_768
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for size, partitions in ((1000, before), (10 * (256 << 20) + 1, 11), (10**14, 372_530)):
+        with sized_shuffles(spark, size) as held:
+            assert held == int(spark.conf.get("spark.sql.shuffle.partitions")) == partitions
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == before
+    with pytest.raises(KeyError), sized_shuffles(spark, 10**14):
+        raise KeyError
+    assert int(spark.conf.get("spark.sql.shuffle.partitions")) == before

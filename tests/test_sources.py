@@ -214,3 +214,87 @@ def test_stored_tables_and_views(spark, tmp_path):
     assert sinks.save_table(df, "three_rows_stored", str(tmp_path / "t")).count() == 3
     assert sinks.save_table(df.limit(1), "three_rows_stored", str(tmp_path / "t")).count() == 1
     spark.sql("DROP TABLE three_rows_stored")
+
+
+def mart_counts(spark, store):
+    table = spark.read.parquet(store.table("mart_monthly_station_perf"))
+    return {str(r.service_month)[:7]: r.n for r in table.groupBy("service_month").agg(F.sum("observation_count").alias("n")).collect()}
+
+
+def distinct_stops(month, n):
+    return [observation(f"{month}-{i}", f"{month}-10T{i:02d}:10:00", train_line_ride_id=f"{month}-{i}") for i in range(n)]
+
+
+def test_a_reload_keeps_what_the_neighbour_month_rounds_into(spark, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    release = lambda name, rows: release_file(tmp_path / name, rows)
+    monthly_run.run_month(spark, store, "2026-02", release("feb.parquet", distinct_stops("2026-02", 3)))
+    late = observation("late", "2026-01-31T23:59:59.700", train_line_ride_id="late")
+    monthly_run.run_month(spark, store, "2026-01", release("jan.parquet", [late, *distinct_stops("2026-01", 2)]))
+    assert mart_counts(spark, store) == {"2026-01": 2, "2026-02": 4}
+    monthly_run.run_month(spark, store, "2026-01", release("jan2.parquet", distinct_stops("2026-01", 2)), force=True)
+    assert mart_counts(spark, store) == {"2026-01": 2, "2026-02": 3}
+    monthly_run.run_month(spark, store, "2026-02", release("feb2.parquet", distinct_stops("2026-02", 5)), force=True)
+    stepwise = mart_counts(spark, store)
+    monthly_run.build_layers(spark, store, None)
+    assert stepwise == mart_counts(spark, store) == {"2026-01": 2, "2026-02": 5}
+
+
+def test_a_full_refresh_forgets_deleted_months(spark, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    for month in ("2026-01", "2026-02"):
+        monthly_run.run_month(spark, store, month, release_file(tmp_path / f"{month}.parquet", distinct_stops(month, 2)))
+    assert raw.delete_month(spark, store.raw, "2026-01") and not raw.delete_month(spark, store.raw, "2026-01")
+    built = monthly_run.build_layers(spark, store, None)
+    assert mart_counts(spark, store) == {"2026-02": 2}
+    assert built.dim_service_month.count() == 1
+    assert spark.read.parquet(store.table("int_observations_enriched")).count() == 2
+
+
+def test_a_month_that_fails_its_checks_leaves_all_tables(spark, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    monthly_run.run_month(spark, store, "2026-01", release_file(tmp_path / "a.parquet", distinct_stops("2026-01", 3)))
+    wrong = observation("off", "2026-01-05T10:00:00", "2026-01-05T10:04:00", delay_in_min=9, train_line_ride_id="q")
+    with pytest.raises(CheckFailed, match="departure_delay_matches_published"):
+        monthly_run.run_month(spark, store, "2026-01", release_file(tmp_path / "b.parquet", [*distinct_stops("2026-01", 3), wrong]), force=True)
+    assert spark.read.parquet(store.table("int_observations_enriched")).count() == 3
+    assert mart_counts(spark, store) == {"2026-01": 3}
+    assert not (tmp_path / "store/_staging").exists() or not list((tmp_path / "store/_staging").iterdir())
+
+
+def test_an_id_of_another_month_stops_the_run(spark, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    monthly_run.run_month(spark, store, "2026-01", release_file(tmp_path / "a.parquet", distinct_stops("2026-01", 3)))
+    again = observation("2026-01-1", "2026-02-05T10:00:00", train_line_ride_id="q")
+    with pytest.raises(CheckFailed, match="unique:id_across_months"):
+        monthly_run.run_month(spark, store, "2026-02", release_file(tmp_path / "b.parquet", [again]))
+
+
+def test_the_month_of_the_era_change_passes(spark, tmp_path):
+    store = Store(str(tmp_path / "store"))
+    rows = [observation(f"n{d}", f"2025-11-{d:02d}T10:00:00", train_line_ride_id=f"r{d}") for d in (1, 2, 3)]
+    monthly_run.run_month(spark, store, "2025-11", release_file(tmp_path / "a.parquet", rows))
+    eras = spark.read.parquet(store.table("mart_monthly_station_perf")).select("station_coverage_era").distinct().count()
+    assert eras == 2
+
+
+def test_backfill_leaves_landed_months_and_a_failed_gate_leaves_bronze(spark, tmp_path, observations):
+    store = Store(str(tmp_path / "store"))
+    own = raw.month_of(raw.decode_ns_truncated(F.col("time")))
+    landed = lambda: {r.source_month: r["count"] for r in bronze.read_landed(spark, store.bronze).groupBy("source_month").count().collect()}
+    monthly_run.run_month(spark, store, "2026-01", release_file(tmp_path / "a.parquet", distinct_stops("2026-01", 3)))
+    monthly_run.backfill(observations(*distinct_stops("2026-02", 4), *distinct_stops("2026-01", 1)), own, store)
+    assert landed() == {"2026-01": 3, "2026-02": 4}
+    with pytest.raises(GateFailed, match="2026-03"):
+        monthly_run.backfill(observations(*distinct_stops("2026-02", 9)), F.lit("2026-03"), store, force=True)
+    with pytest.raises(GateFailed, match="schema"):
+        monthly_run.backfill(observations(*distinct_stops("2026-02", 9)).drop("id"), own, store)
+    assert landed() == {"2026-01": 3, "2026-02": 4}
+    monthly_run.backfill(observations(*distinct_stops("2026-02", 2)), own, store, force=True)
+    assert landed() == {"2026-01": 3, "2026-02": 2}
+
+
+def test_the_session_keeps_its_shuffle_setting(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    monthly_run.run_month(spark, Store(str(tmp_path / "s")), "2026-01", release_file(tmp_path / "a.parquet", distinct_stops("2026-01", 3)))
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
