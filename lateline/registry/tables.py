@@ -122,6 +122,8 @@ register(
     "export_report",
     _exported,
     f"""SELECT source_month, CAST(count(*) AS DOUBLE) AS non_canceled_rows,
+               CAST(count(delay_in_min) AS DOUBLE) AS delay_non_null_rows,
+               CAST(count(*) - count(delay_in_min) AS DOUBLE) AS delay_null_rows,
                CAST(min(delay_in_min) AS DOUBLE) AS minimum_delay_min, CAST(max(delay_in_min) AS DOUBLE) AS maximum_delay_min,
                round(avg(delay_in_min), 4) AS average_delay_min, round(stddev_samp(delay_in_min), 4) AS stddev_delay_min,
                array_to_string(quantile_disc(delay_in_min, {contract.PROFILE_PERCENTILES}), ',') AS {PERCENTILE_COLUMN},
