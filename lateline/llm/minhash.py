@@ -152,8 +152,9 @@ def sketches(texts: DataFrame) -> DataFrame:
 def across_components(members: DataFrame) -> DataFrame:
     """Pairs of different components in a region whose sizes and sketches don't rule a link out.
 
-    ``members``: tree, region, region_size, id, component, n_shingles, sketch. A region is dealt into blocks, and each two
-    blocks meet in one task.
+    ``members``: tree, region, region_size, id, component, n_shingles, regions, sketch. A region is dealt into blocks, and
+    each two blocks meet in one task. A pair is looked at in the first tree where it shares a region; that region is open
+    like all others it shares, since it holds two components.
     """
     blocks = F.ceil(F.col("region_size") / BLOCK)
     own = F.pmod(F.xxhash64("id"), blocks)
@@ -161,12 +162,13 @@ def across_components(members: DataFrame) -> DataFrame:
     dealt = dealt.select(
         F.xxhash64("tree", "region", F.least("own", "other"), F.greatest("own", "other")).alias("meeting"),
         (F.col("own") > F.col("other")).alias("second"), (F.col("own") == F.col("other")).alias("alone"),
-        "id", "component", "n_shingles", "sketch",
+        "tree", "id", "component", "n_shingles", "regions", "sketch",
     )
 
     def compared(pdf: pd.DataFrame) -> pd.DataFrame:
         ids, component, size = (pdf[c].to_numpy() for c in ("id", "component", "n_shingles"))
         sketch = np.frombuffer(b"".join(pdf["sketch"]), dtype=np.uint8).reshape(len(pdf), SKETCH)
+        regions, tree = np.stack(pdf["regions"].to_numpy()), pdf["tree"].iloc[0]
         alone, second = pdf["alone"].to_numpy(), pdf["second"].to_numpy()
         found = []
         others = np.arange(len(pdf))
@@ -174,6 +176,7 @@ def across_components(members: DataFrame) -> DataFrame:
             with_ = others[i + 1 :] if alone[i] else others[second & ~alone] if not second[i] else others[:0]
             fit = (component[with_] != component[i]) & (100 * np.minimum(size[with_], size[i]) >= 85 * np.maximum(size[with_], size[i]))
             with_ = with_[fit]
+            with_ = with_[(regions[with_] == regions[i]).argmax(axis=1) == tree]
             with_ = with_[(sketch[with_] == sketch[i]).sum(axis=1) >= AGREE]
             found.append(np.stack([np.maximum(ids[with_], ids[i]), np.minimum(ids[with_], ids[i])], axis=1))
         return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
@@ -254,7 +257,9 @@ def link_documents(docs: DataFrame) -> DataFrame:
     sizes = members.groupBy("tree", "region").agg(F.count("*").alias("region_size")).where("region_size > 1")
     known = found.select(F.col("node").alias("id"), "component")
     in_open = members.join(sizes, ["tree", "region"])
-    sketched = scratch.keep(sketches(stored.join(members.select("id").distinct(), "id", "left_semi")), "sketches")
+    ids = members.select("id").distinct()
+    sketched = sketches(stored.join(ids, "id", "left_semi")).join(texts.select("id", "regions"), "id")
+    sketched = scratch.keep(sketched, "sketches")
     whole = in_open.join(sketched, "id").join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
     found = joined(found, across_components(whole), "across")
 
