@@ -245,35 +245,54 @@ def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = 12_000, le
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         restorer = Restorer(restorer_costs.value)
         for batch in batches:
-            rows = []
+            rows, size = [], 0
             for doc, text, toxic in zip(batch["doc_id"], batch["text"], batch["toxic"]):
                 counts: Counter = Counter()
                 for word, n in words_of(restorer.restore(text or "")).items():
                     for feature in features_of(word):
                         counts[feature] += n
-                rows += [(doc, f, toxic, math.log1p(n)) for f, n in counts.items()]
-                if len(rows) > 20_000:  # a few documents at a time, as each has thousands of features
-                    yield pd.DataFrame(rows, columns=["doc", "name", "toxic", "value"])
-                    rows = []
-            yield pd.DataFrame(rows, columns=["doc", "name", "toxic", "value"])
+                rows.append((doc, toxic, list(counts), [math.log1p(n) for n in counts.values()]))
+                size += len(counts)
+                if size > 20_000:  # a few documents at a time, as each has thousands of features
+                    yield pd.DataFrame(rows, columns=["doc", "toxic", "names", "log_counts"])
+                    rows, size = [], 0
+            yield pd.DataFrame(rows, columns=["doc", "toxic", "names", "log_counts"])
 
     # The chosen ids are bounded, so Spark sends them to the documents; rows of the same id: any one is taken.
     ids = spark.createDataFrame(list(chosen.items()), "doc_id long, toxic int")
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(ids), "doc_id")
     sample = sample.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
-    rows = sample.mapInPandas(counted, "doc long, name string, toxic int, value double")
+    rows = sample.mapInPandas(counted, "doc long, toxic int, names array<string>, log_counts array<double>")
     rows = Scratch(spark, "toxicity").keep(rows, "features")
     n, toxic = len(chosen), sum(chosen.values())
     expected = F.col("with") * F.lit(toxic / n)
     strong = (
-        rows.groupBy("name").agg(F.count("*").alias("with"), F.sum("toxic").alias("toxic"))
+        rows.select("toxic", F.explode("names").alias("name"))
+        .groupBy("name").agg(F.count("*").alias("with"), F.sum("toxic").alias("toxic"))
         .where("with >= 5")
         .orderBy((F.abs(F.col("toxic") - expected) / F.sqrt(expected)).desc(), "name")
         .limit(lexicon).select("name").collect()
     )
     names = sorted(row["name"] for row in strong)
-    numbers = spark.createDataFrame(list(enumerate(names)), "feature int, name string")
-    found = rows.join(F.broadcast(numbers), "name").select("doc", "feature", "value").toPandas()
+    numbers = {name: i for i, name in enumerate(names)}
+
+    def chosen_only(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            kept = [[(numbers[f], v) for f, v in zip(fs, vs) if f in numbers] for fs, vs in zip(batch["names"], batch["log_counts"])]
+            yield pd.DataFrame(
+                {"doc": batch["doc"], "features": [[f for f, _ in k] for k in kept], "log_counts": [[v for _, v in k] for k in kept]}
+            )
+
+    # A row for each of the sample's documents.
+    by_doc = rows.mapInPandas(chosen_only, "doc long, features array<int>, log_counts array<double>").toPandas()
+    sizes = by_doc["features"].str.len().to_numpy(dtype=int)
+    found = pd.DataFrame(
+        {
+            "doc": np.repeat(by_doc["doc"].to_numpy(), sizes),
+            "feature": np.concatenate([np.zeros(0, int), *by_doc["features"]]).astype(int),
+            "value": np.concatenate([np.zeros(0), *by_doc["log_counts"]]),
+        }
+    )
     weights, bias = _fit(found, chosen, names)
     return Model(costs, dict(zip(names, weights.tolist())), bias)
 
