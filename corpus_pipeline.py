@@ -34,9 +34,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return rest.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else c for c in docs.columns])
 
 
+#: Share of their shingles from which two documents are near copies.
+NEAR_COPIES = 0.8
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest id; of rows of equal id and text, one."""
-    kept = link_documents(docs).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("kept_id")).distinct()
+    kept = link_documents(docs, similarity=NEAR_COPIES).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("kept_id")).distinct()
     own = F.struct(*[F.col(c) for c in docs.columns]).alias("doc")
     rows = docs.select(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("kept_id"), F.xxhash64("text").alias("text_hash"))
     rows = rows.join(kept, "kept_id", "left_semi").dropDuplicates(["kept_id", "text_hash"])

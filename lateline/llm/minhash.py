@@ -2,18 +2,19 @@
 
 Every document's set of word shingles gets a signature of minimum hashes; documents of equal sets are folded into one
 text from there on. The signature is cut into trees, each an order of the texts by its own few hash values and then by
-the rest of the signature. Texts that agree in the first ``DEPTH`` values of a tree form a region of it; in the sorted
+the rest of the signature. Texts that agree in the own values of a tree form a region of it; in the sorted
 order the neighbour with the longest common prefix stands next to a text.
 
 Candidates come in three steps, each seeing only what the one before left open:
 
 1. neighbours in the first trees, which link most of a dense region whatever its size (its neighbours agree far deeper
-   than ``DEPTH``, so depth follows density);
+   than that, so depth follows density);
 2. neighbours in all other trees that lie in different components so far;
 3. texts of different components in a region. A region that is one component by now has none. In the others longer
    sketches are compared, block by block, and only pairs that these don't rule out go on. This step makes the search
-   exact at ``DEPTH`` up to the sketches' error: there is no cap, and a pair at the threshold of 0.85 shares none of 24
-   regions of depth 5 with a probability of 1e-6, or is ruled out by its sketches with one of 3e-6.
+   exact at its depth up to the sketches' error: there is no cap, and a pair at a threshold of 0.85 shares none of 24
+   regions of depth 5 with a probability of 1e-6 (at 0.8, none of 24 of depth 4 with 3e-6), or is ruled out by its
+   sketches with one of 3e-6.
 
 Every candidate is confirmed on the full sets, made again from the texts. Texts move once: those that stand in a region
 with another one are stored by themselves, and the rest are never looked at again.
@@ -22,7 +23,10 @@ with another one are stored by themselves, and the rest are never looked at agai
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -35,8 +39,10 @@ from lateline.llm.storage import Scratch
 
 SHINGLE = 5
 TREES, DEPTH, FIRST_TREES = 24, 5, 3
-#: Hash functions of a sketch, one byte each, and how many of them must agree: 4.5 standard deviations below 0.85.
-SKETCH, AGREE = 480, 373
+#: Chance to accept that a pair at the threshold shares no region.
+MISSED = 1e-5
+#: Hash functions of a sketch, one byte each, and how many standard deviations below the threshold still count.
+SKETCH, DEVIATIONS = 480, 4.5
 #: Texts of a region that are compared with as many others in one task.
 BLOCK = 512
 NO_ID = -(1 << 63)
@@ -44,6 +50,28 @@ SEEDS = np.random.default_rng(20_240_501).integers(1, 1 << 63, size=(2, TREES *
 SKETCH_SEEDS = np.random.default_rng(7_112_023).integers(1, 1 << 63, size=(2, SKETCH), dtype=np.uint64) | np.uint64(1)
 
 
+@dataclass(frozen=True)
+class Threshold:
+    """All that follows from the share of their union that two linked sets have in common, ``over`` / ``under``."""
+
+    over: int
+    under: int
+    depth: int
+    agree: int
+
+    @classmethod
+    def of(cls, similarity: float) -> Threshold:
+        if not 0 < similarity <= 1:
+            raise ValueError(f"similarity {similarity} is not above 0 and at most 1")
+        share = Fraction(str(similarity))
+        fitting = [d for d in range(1, DEPTH + 1) if (1 - similarity**d) ** TREES <= MISSED]
+        if not fitting:
+            raise ValueError(f"{TREES} trees miss too many pairs of similarity {similarity}")
+        same = similarity + (1 - similarity) / 256  # bytes also agree by chance
+        agree = round(SKETCH * same - DEVIATIONS * math.sqrt(SKETCH * same * (1 - same)))
+        return cls(share.numerator, share.denominator, fitting[-1], agree)
+
+
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted hashes of the distinct shingles: of five words, or of the whole sequence if there are fewer."""
     words = word_list(text.translate(LOWER)) if isinstance(text, str) else []
@@ -69,7 +97,7 @@ def signature(shingles: np.ndarray, seeds: np.ndarray = SEEDS) -> np.ndarray:
     return (least >> np.uint64(32)).astype("<u4")
 
 
-def profiles(docs: DataFrame) -> DataFrame:
+def profiles(docs: DataFrame, depth: int) -> DataFrame:
     """Size, identity and tree keys of each document's set: id, n_shingles, set_key, trees (a region and what orders
     the texts in it, for each tree)."""
 
@@ -79,11 +107,12 @@ def profiles(docs: DataFrame) -> DataFrame:
             for ident, text in zip(batch["id"], batch["text"].array):
                 s = shingle_set(text)
                 if len(s):
-                    values = signature(s).reshape(TREES, DEPTH)
+                    flat = signature(s, SEEDS[:, : TREES * depth])
+                    values = flat.reshape(TREES, depth)
                     regions = [int.from_bytes(hashlib.blake2b(v.tobytes(), digest_size=8, salt=bytes([t])).digest(), "little", signed=True) for t, v in enumerate(values)]
                     # Below its own values each tree is ordered by the next tree's, the deeper levels of the forest.
-                    deeper = np.roll(values, -1, axis=0)
-                    rest = [int(v[0]) << 31 | int(v[1]) >> 1 for v in deeper]
+                    deeper = np.roll(flat, -depth), np.roll(flat, -depth - 1)
+                    rest = [int(v) << 31 | int(w) >> 1 for v, w in zip(deeper[0][::depth], deeper[1][::depth])]
                     rows.append((ident, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), regions, rest))
                 else:
                     rows.append((ident, 0, None, [], []))
@@ -123,9 +152,9 @@ def neighbours(forest: DataFrame) -> DataFrame:
     return forest.repartitionByRange(*order).sortWithinPartitions(*order).mapInPandas(next_to, schema)
 
 
-def may_link(a: Column, b: Column) -> Column:
+def may_link(a: Column, b: Column, threshold: Threshold) -> Column:
     """Sets of these sizes can reach the threshold."""
-    return F.least(a, b) * 100 >= F.greatest(a, b) * 85
+    return F.least(a, b) * threshold.under >= F.greatest(a, b) * threshold.over
 
 
 def ordered(pairs: DataFrame) -> DataFrame:
@@ -149,7 +178,7 @@ def sketches(texts: DataFrame) -> DataFrame:
     return texts.mapInPandas(sketched, "id long, sketch binary")
 
 
-def across_components(members: DataFrame) -> DataFrame:
+def across_components(members: DataFrame, threshold: Threshold) -> DataFrame:
     """Pairs of different components in a region whose sizes and sketches don't rule a link out.
 
     ``members``: tree, region, region_size, id, component, n_shingles, regions, sketch. A region is dealt into blocks, and
@@ -174,17 +203,18 @@ def across_components(members: DataFrame) -> DataFrame:
         others = np.arange(len(pdf))
         for i in range(len(pdf)):
             with_ = others[i + 1 :] if alone[i] else others[second & ~alone] if not second[i] else others[:0]
-            fit = (component[with_] != component[i]) & (100 * np.minimum(size[with_], size[i]) >= 85 * np.maximum(size[with_], size[i]))
+            near = threshold.under * np.minimum(size[with_], size[i]) >= threshold.over * np.maximum(size[with_], size[i])
+            fit = (component[with_] != component[i]) & near
             with_ = with_[fit]
             with_ = with_[(regions[with_] == regions[i]).argmax(axis=1) == tree]
-            with_ = with_[(sketch[with_] == sketch[i]).sum(axis=1) >= AGREE]
+            with_ = with_[(sketch[with_] == sketch[i]).sum(axis=1) >= threshold.agree]
             found.append(np.stack([np.maximum(ids[with_], ids[i]), np.minimum(ids[with_], ids[i])], axis=1))
         return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
 
     return dealt.groupBy("meeting").applyInPandas(compared, "a long, b long").distinct()
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, texts: DataFrame, threshold: Threshold) -> DataFrame:
     """The pairs whose full sets reach the threshold."""
 
     def linked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -202,7 +232,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             for a, b, one, other in zip(batch["a"], batch["b"], batch["text"], batch["other_text"]):
                 x, y = set_of(a, one), set_of(b, other)
                 both = len(np.intersect1d(x, y, assume_unique=True))
-                holds.append(100 * both >= 85 * (len(x) + len(y) - both))
+                holds.append(threshold.under * both >= threshold.over * (len(x) + len(y) - both))
             yield batch.loc[np.array(holds, dtype=bool), ["a", "b"]]
 
     joined = pairs.join(texts.withColumnRenamed("id", "a"), "a").join(
@@ -211,20 +241,21 @@ def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return joined.select("a", "b", "text", "other_text").mapInPandas(linked, "a long, b long")
 
 
-def link_documents(docs: DataFrame) -> DataFrame:
+def link_documents(docs: DataFrame, *, similarity: float = 0.85) -> DataFrame:
     """One row for each document: doc_id, n_shingles, component_id, kept, set_id (the smallest id of an equal set).
 
-    Two documents are linked if their sets of word shingles (words lower-cased in A-Z) overlap in at least 85 of 100 of
-    their union; a component holds all that links reach and is named by its smallest id, whose document is kept.
+    Two documents are linked if their sets of word shingles (words lower-cased in A-Z) overlap in at least the share
+    ``similarity`` of their union; a component holds all that links reach and is named by its smallest id, whose document is kept.
 
     A null or empty text, or one without words, has an empty set, links with nothing and is kept. A null id counts as
     the smallest and is returned as null; its component is null too. Rows of the same id and text get the same values;
     of rows of the same id and different texts each set links for the id as a whole. No documents: no rows. Columns
     other than ``doc_id`` and ``text`` are not read.
     """
+    threshold = Threshold.of(similarity)
     scratch = Scratch(docs.sparkSession, "minhash")
     docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
-    profiled = scratch.keep(profiles(docs), "profiles")
+    profiled = scratch.keep(profiles(docs, threshold.depth), "profiles")
     texts = scratch.keep(
         profiled.where("n_shingles > 0").groupBy("set_key").agg(
             F.min("id").alias("id"), F.any_value("n_shingles").alias("n_shingles"),
@@ -236,7 +267,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     trees = F.posexplode(F.arrays_zip(F.col("regions").alias("region"), F.col("deeper").alias("deeper"))).alias("tree", "place")
     forest = texts.select("id", "n_shingles", trees).select("id", "n_shingles", "tree", "place.region", "place.deeper")
     adjacent = scratch.keep(neighbours(forest), "neighbours")
-    close = adjacent.where((F.col("a") != F.col("b")) & may_link(F.col("a_size"), F.col("b_size")))
+    close = adjacent.where((F.col("a") != F.col("b")) & may_link(F.col("a_size"), F.col("b_size"), threshold))
     ends = adjacent.where("a <> b").select(F.col("a").alias("id")).union(adjacent.where("a <> b").select("b")).distinct()
     # Regions cut by a partition have an end that may stand beside a text beyond it.
     ends = ends.union(adjacent.where("a = b").select("a")).distinct()
@@ -244,7 +275,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
 
     def joined(found: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
         pairs = scratch.keep(pairs, f"{name}-pairs")
-        return merged(found, scratch.keep(confirmed(pairs, stored), f"{name}-links"), scratch, name)
+        return merged(found, scratch.keep(confirmed(pairs, stored, threshold), f"{name}-links"), scratch, name)
 
     found = docs.sparkSession.createDataFrame([], "node long, component long")
     first = ordered(close.where(F.col("tree") < FIRST_TREES))
@@ -261,7 +292,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     sketched = sketches(stored.join(ids, "id", "left_semi")).join(texts.select("id", "regions"), "id")
     sketched = scratch.keep(sketched, "sketches")
     whole = in_open.join(sketched, "id").join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    found = joined(found, across_components(whole), "across")
+    found = joined(found, across_components(whole, threshold), "across")
 
     members = texts.select("set_key", F.col("id").alias("set_id"))
     reached = profiled.select("id", "n_shingles", "set_key").join(members, "set_key", "left").withColumn("set_id", F.coalesce("set_id", "id"))

@@ -13,7 +13,8 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
-from lateline.llm import components, mixing, packing, private_data, repeats, syncmers, toxicity
+import corpus_pipeline
+from lateline.llm import components, minhash, mixing, packing, private_data, repeats, syncmers, toxicity
 from lateline.llm.cover_tree import grow
 from lateline.llm.storage import Scratch
 from llm.cases import documents
@@ -278,3 +279,18 @@ def test_exponent_meets_the_first_goal(spark):
     p /= p.sum()
     assert -(p * np.log(p)).sum() == pytest.approx(0.8 * np.log(3), abs=1e-6)
     assert mixing.bisect_exponent(sizes, 2.0, 1e9) == 0.0
+
+
+def test_near_copies_of_the_pipeline_begin_at_four_fifths(spark):
+    words = [f"b{i}" for i in range(260)]
+    rows = [(1, " ".join(words), "en", "a", 1)]
+    for n, changed in ((2, 5), (3, 7)):  # each change costs five of 256 shingles: 231 of 281 and 221 of 291 in common
+        edited = list(words)
+        for k in range(changed):
+            edited[20 + 30 * k] = f"e{n}-{k}"
+        rows.append((n, " ".join(edited), "en", "a", 1))
+    near = corpus_pipeline.near_dedup(spark, documents(spark, rows), "")
+    assert sorted(r.doc_id for r in near.collect()) == [1, 3]
+    kept = minhash.link_documents(documents(spark, rows)).where("kept").collect()
+    assert sorted(r.doc_id for r in kept) == [1, 2, 3]
+    assert (minhash.Threshold.of(0.85), minhash.Threshold.of(0.8)) == (minhash.Threshold(17, 20, 5, 373), minhash.Threshold(4, 5, 4, 345))
