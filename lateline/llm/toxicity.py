@@ -2,9 +2,9 @@
 
 The channel. Writers replace letters by look-alike signs (``1d10t``), put signs or spaces between letters (``i d.i-o t``)
 and repeat letters (``idiooot``). A disguised stretch is a lattice: at each character the letters it may stand for, or
-nothing. Viterbi decoding finds the cheapest path under the cost of each disguise and a character language model, four
+nothing, or for a separator the end of a word. Viterbi decoding finds the cheapest path under the cost of each disguise and a character language model, four
 letters long, counted over all documents. States are the last three letters, so the search is exact and its time is in
-proportion to the stretch.
+proportion to the stretch, however long that is.
 
 The classifier. Logistic regression on how often words, and beginnings of words, occur in the restored text; compounds
 of a toxic stem share its beginning. It is fitted on a bounded sample of labelled rows (``labelled_rows``), its features
@@ -31,11 +31,13 @@ LOOK_ALIKES = {
     "0": "o", "1": "il", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "£": "l",
 }
-#: Costs in nats: a sign read as a letter, a sign between letters skipped, a repeated letter skipped.
-READ_SIGN, SKIP_SIGN, SKIP_REPEAT = 0.7, 2.0, 1.0
+#: Costs in nats: a sign read as a letter, a sign between letters skipped, a repeated letter skipped, a separator skipped
+#: or read as a space; which of these two, the language model decides.
+READ_SIGN, SKIP_SIGN, SKIP_REPEAT, SEPARATE = 0.7, 2.0, 1.0, 0.3
 LETTERS = 28  # what stands between words, a-z, and all other letters
 ORDER = 4
-MOST_STRETCH = 64  # longer stretches are data, not words in disguise
+REMEMBERED_STRETCH = 64  # longer stretches rarely come again
+SEPARATORS = " ._*-"
 SIGNS = re.escape("".join(LOOK_ALIKES))
 #: At least four single characters with one or two separators between them.
 SPACED = r"(?<![^\W_])(?:[^\W_][ ._*\-]{1,2}){3,}[^\W_](?![^\W_])"
@@ -94,6 +96,14 @@ def letter_costs(counts: np.ndarray, weight: float = 5.0) -> np.ndarray:
     return -np.log(p).astype(np.float32).ravel()
 
 
+def without_end(core: str) -> str:
+    """Without signs that stand for left out letters at its end, or a look-alike that is repeated there."""
+    rest = core.rstrip("%&#*")
+    if rest == core and core[-2:-1] == core[-1:] and core[-1:] in tuple("!$+|(@"):
+        rest = core.rstrip(core[-1])
+    return rest
+
+
 class Restorer:
     """Decodes the disguised stretches of texts; a stretch met before is remembered."""
 
@@ -103,39 +113,43 @@ class Restorer:
     def decode(self, stretch: str) -> str:
         """The cheapest reading, by Viterbi over the last three letters."""
         costs, size = self.costs, LETTERS**3
-        best = {(0, ""): (0.0, "")}  # last three letters and the last one as written -> cost, reading
+        # Last three letters and the last one as written -> cost, and the reading as its last letter and the reading before.
+        best: dict[tuple[int, str], tuple[float, tuple | None]] = {(0, ""): (0.0, None)}
         for at, sign in enumerate(stretch):
             ways = []
             if sign.isalpha():
                 ways.append((sign, 0.0))
                 if at and stretch[at - 1] == sign:
                     ways.append(("", SKIP_REPEAT))
+            elif sign in SEPARATORS:
+                ways = [("", SEPARATE), (" ", SEPARATE)]
             else:
                 ways = [(letter, READ_SIGN) for letter in LOOK_ALIKES.get(sign, "")]
-                ways.append(("", 0.3 if sign in " ._*-" else SKIP_SIGN))
-            after: dict[tuple[int, str], tuple[float, str]] = {}
+                ways.append(("", SKIP_SIGN))
+            after: dict[tuple[int, str], tuple[float, tuple | None]] = {}
             for (state, last), (cost, reading) in best.items():
                 for letter, price in ways:
                     if letter:
                         code = state * LETTERS + symbol_of(letter)
-                        key, total, text = (code % size, letter), cost + price + costs[code], reading + letter
+                        key, total = (code % size, letter), cost + price + costs[code]
                     else:
-                        key, total, text = (state, last), cost + price, reading
+                        key, total = (state, last), cost + price
                     if key not in after or total < after[key][0]:
-                        after[key] = (total, text)
+                        after[key] = (total, (letter, reading) if letter else reading)
             best = after
-        return min((cost + costs[state * LETTERS], text) for (state, _), (cost, text) in best.items())[1]
+        _, reading = min(((cost + costs[state * LETTERS], reading) for (state, _), (cost, reading) in best.items()), key=lambda r: r[0])
+        letters = []
+        while reading:
+            letter, reading = reading
+            letters.append(letter)
+        return "".join(reversed(letters))
 
     def _restored(self, found: re.Match) -> str:
         stretch = found.group()
-        if len(stretch) > MOST_STRETCH:
-            return stretch
         reading = self.known.get(stretch)
         if reading is None:
-            if len(self.known) >= self.remembered:
-                self.known.clear()
             core = stretch.strip("".join(c for c in set(stretch) if not c.isalnum() and c not in "@$!|+(€£")) or stretch
-            plain = re.sub(r"(?:[%&#*]+|([!$+|(@])\1+)$", "", core) or core
+            plain = without_end(core) or core
             digits = sum(c.isdigit() for c in plain)
             if plain.isalpha() and not re.search(r"(.)\1\1|(.)\2(.)\3", plain):
                 reading = plain
@@ -143,7 +157,10 @@ class Restorer:
                 reading = stretch  # numbers and addresses
             else:
                 reading = self.decode(plain)
-            self.known[stretch] = reading
+            if len(stretch) <= REMEMBERED_STRETCH:
+                if len(self.known) >= self.remembered:
+                    self.known.clear()
+                self.known[stretch] = reading
         return reading
 
     def restore(self, text: str) -> str:

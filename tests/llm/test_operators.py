@@ -294,3 +294,22 @@ def test_near_copies_of_the_pipeline_begin_at_four_fifths(spark):
     kept = minhash.link_documents(documents(spark, rows)).where("kept").collect()
     assert sorted(r.doc_id for r in kept) == [1, 2, 3]
     assert (minhash.Threshold.of(0.85), minhash.Threshold.of(0.8)) == (minhash.Threshold(17, 20, 5, 373), minhash.Threshold(4, 5, 4, 345))
+
+
+def restorer_of(words):
+    counts = np.zeros(toxicity.LETTERS**4)
+    seen = toxicity.SYMBOLS[np.frombuffer(f"    {words} ".encode(), dtype=np.uint8)]
+    np.add.at(counts, ((seen[:-3] * 28 + seen[1:-2]) * 28 + seen[2:-1]) * 28 + seen[3:], 1)
+    return toxicity.Restorer(toxicity.letter_costs(counts))
+
+
+def test_restored_runs_of_words():
+    restorer = restorer_of("you are idiot and you are a stupid idiot and a loser that you are " * 200)
+    assert restorer.restore("y o u a r e i d i o t").split() == ["you", "are", "idiot"]
+    said = "you are a stupid idiot and a loser and you are a stupid idiot"
+    for sign in (" ", ".", "-"):
+        spaced = sign.join(said.replace(" ", ""))
+        assert len(spaced) > 64 and restorer.restore(spaced).split() == said.split()
+    assert len(restorer.known) == 1
+    assert restorer.restore("a i d i o t").split() == ["a", "idiot"]
+    assert restorer.restore("x" + "*" * 200_000 + "y").replace(" ", "") == "xy"
