@@ -30,7 +30,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     ``n_chars`` follows the text, where there is such a column. Documents that were empty before stay.
     """
-    rest = drop_recurring_lines(docs).where("n_dropped = 0 OR length(trim(text)) > 0")
+    rest = drop_recurring_lines(docs, min_tokens=1).where("n_dropped = 0 OR length(trim(text)) > 0")
     return rest.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else c for c in docs.columns])
 
 

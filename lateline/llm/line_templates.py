@@ -41,7 +41,9 @@ def line_keys(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
     )
     lines = lines.select("doc_id", "text_hash", "position", masked(F.col("line")).alias("template"))
     tokens = F.length("template") - F.length(F.replace("template", F.lit(" "), F.lit(""))) + 1
-    return lines.withColumn("tokens", tokens).where(F.col("tokens") >= min_tokens).select(
+    # Blank lines separate paragraphs, and one or two variable tokens say nothing in common.
+    bare = F.col("template").isin("", VARIABLE, f"{VARIABLE} {VARIABLE}")
+    return lines.withColumn("tokens", tokens).where((F.col("tokens") >= min_tokens) & ~bare).select(
         "doc_id",
         "text_hash",
         "position",
@@ -122,8 +124,8 @@ def drop_recurring_lines(
 
     ``depth`` leading tokens lead to a leaf. A leaf's token is constant if the share ``support`` of its lines have it; the
     leaf counts as one template if the share ``constant`` of its tokens are, and a line follows it if it agrees in the
-    share ``support`` of them. Lines under ``min_tokens`` tokens always stay, as they recur by chance. The document of the
-    smallest id that has a template keeps its lines; a null id is larger than any other.
+    share ``support`` of them. Lines under ``min_tokens`` tokens always stay, as do blank ones and those of one or two
+    tokens that are all variable. The document of the smallest id that has a template keeps its lines; a null id is larger than any other.
 
     A null text stays null and has 0 lines; an empty one has one line, empty. Rows of the same id and text lose the same
     lines. Other columns pass through; of the names ``n_lines`` and ``n_dropped`` the new columns win. No documents: no

@@ -313,3 +313,10 @@ def test_restored_runs_of_words():
     assert len(restorer.known) == 1
     assert restorer.restore("a i d i o t").split() == ["a", "idiot"]
     assert restorer.restore("x" + "*" * 200_000 + "y").replace(" ", "") == "xy"
+
+
+def test_short_recurring_lines_leave_the_pipeline(spark):
+    rows = [(n, f"Read more\n\n{n}\nAdvertisement\nonly w{'abcdefghijkl'[n]} has this", "en", "a", 1) for n in range(12)]
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, documents(spark, rows), "").collect()}
+    assert got[0] == rows[0][1]
+    assert all(got[n] == f"\n{n}\nonly w{'abcdefghijkl'[n]} has this" for n in range(1, 12))
