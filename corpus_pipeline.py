@@ -25,12 +25,16 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return score_documents(docs, train(docs, labels)).where("predicted = 0").select(*docs.columns)
 
 
+#: Rounds in which the lines of a leaf are split into templates.
+LEVELS = 3
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that recur across them, and without those that had no other lines.
 
     ``n_chars`` follows the text, where there is such a column. Documents that were empty before stay.
     """
-    rest = drop_recurring_lines(docs, min_tokens=1).where("n_dropped = 0 OR length(trim(text)) > 0")
+    rest = drop_recurring_lines(docs, min_tokens=1, levels=LEVELS).where("n_dropped = 0 OR length(trim(text)) > 0")
     return rest.select(*[F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else c for c in docs.columns])
 
 

@@ -3,8 +3,10 @@
 A line goes down the tree by its number of tokens and its leading tokens, tokens with a digit counting as variable. In a
 leaf the lines are generalised: at each position the token that most of the leaf's lines share stays, the others become
 variable. A leaf whose template keeps enough constant tokens stands for one kind of line (a heading with a changing date,
-a licence line with a changing name); lines of other leaves only recur as they are. A template that recurs across
-documents is dropped everywhere but in the first document that has it.
+a licence line with a changing name). Lines that follow no template so far are split, within their leaf, by the most
+frequent token that each has and not nearly all share, and the groups are generalised in turn, so that a leaf can hold
+several templates among unrelated lines. What is left after ``levels`` rounds only recurs as it is. A template that recurs
+across documents is dropped everywhere but in the first document that has it.
 
 All of it is grouping and joining: line keys first, 64-bit hashes and positions; only leaves with enough lines are looked
 at token by token; the texts themselves move once, to lose their lines.
@@ -20,6 +22,8 @@ from lateline.llm.storage import Scratch
 VARIABLE = "<*>"
 WITH_DIGIT = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*"
 SPACE = r"[\x20\x09-\x0D]+"
+#: What tells a line from all others.
+WHERE = ["doc_id", "text_hash", "position"]
 OTHER_SPACE = "\t\v\f\r"
 
 
@@ -69,8 +73,28 @@ def leaf_templates(lines: DataFrame, support: float, constant: float) -> DataFra
     )
 
 
+def split_groups(lines: DataFrame, support: float, least: int) -> DataFrame:
+    """Lines by the group of their leaf they belong to next; those without one have no row.
+
+    A line goes by its most frequent token that ``least`` lines of its leaf have, in this place, and that fewer than the
+    share ``support`` of them do.
+    """
+    tokens = lines.select("leaf", *WHERE, F.posexplode(F.split("template", " ")).alias("at", "token")).where(F.col("token") != VARIABLE)
+    sizes = lines.groupBy("leaf").agg(F.count("*").alias("lines"))
+    frequent = (
+        tokens.groupBy("leaf", "at", "token").agg(F.count("*").alias("n")).where(F.col("n") >= least)
+        .join(sizes, "leaf").where(F.col("n") < F.lit(support) * F.col("lines")).drop("lines")
+    )
+    best = F.max_by(F.struct("at", "token"), F.struct("n", -F.col("at"), "token")).alias("by")
+    groups = tokens.join(frequent, ["leaf", "at", "token"]).groupBy("leaf", *WHERE).agg(best)
+    same = [F.col(f"l.{c}").eqNullSafe(F.col(f"g.{c}")) for c in ("leaf", *WHERE)]
+    return lines.alias("l").join(groups.alias("g"), same).select(
+        F.xxhash64("l.leaf", "g.by.at", "g.by.token").alias("leaf"), *[f"l.{c}" for c in WHERE], "l.template"
+    )
+
+
 def recurring_lines(
-    docs: DataFrame, *, depth: int, min_tokens: int, min_documents: int, support: float, constant: float
+    docs: DataFrame, *, depth: int, min_tokens: int, min_documents: int, support: float, constant: float, levels: int
 ) -> DataFrame:
     """Positions of the lines to drop: doc_id, text_hash, positions (ascending).
 
@@ -79,21 +103,35 @@ def recurring_lines(
     scratch = Scratch(docs.sparkSession, "line_templates")
     lines = line_keys(docs, depth, min_tokens)
     keys = scratch.keep(lines.withColumn("template", F.xxhash64("template")), "keys")
-    large = scratch.keep(
-        keys.groupBy("leaf").agg(F.count("*").alias("lines")).where(F.col("lines") >= min_documents), "large"
-    )
+
+    def enough(grouped: DataFrame) -> DataFrame:
+        return grouped.groupBy("leaf").agg(F.count("*").alias("lines")).where(F.col("lines") >= min_documents)
+
+    large = scratch.keep(enough(keys), "large")
     large_lines = scratch.keep(lines.join(large, "leaf"), "large_lines")
-    leaves = scratch.keep(leaf_templates(large_lines, support, constant), "leaves")
-    # A line follows its leaf's template if it has the share ``support`` of the constant tokens.
-    own = F.zip_with(F.split("template", " "), "leaf_tokens", lambda a, b: (b != VARIABLE) & (a == b))
-    follows = F.size(F.filter(own, lambda same: same)) >= F.lit(support) * F.col("constants")
-    template = F.when(follows, F.xxhash64("leaf", F.lit("leaf"))).otherwise(F.xxhash64("template"))
-    where = ["doc_id", "text_hash", "position"]
-    keyed = scratch.keep(
-        keys.join(leaves, "leaf", "left_anti").select(*where, "template")
-        .union(large_lines.join(leaves, "leaf").select(*where, template.alias("template"))),
-        "lines",
-    )
+    keyed = keys.join(large, "leaf", "left_anti").select(*WHERE, "template")
+    for level in range(1, levels + 1):
+        leaves = scratch.keep(leaf_templates(large_lines, support, constant), f"leaves-{level}")
+        # A line follows its leaf's template if it has the share ``support`` of the constant tokens.
+        own = F.zip_with(F.split("template", " "), "leaf_tokens", lambda a, b: (b != VARIABLE) & (a == b))
+        follows = F.size(F.filter(own, lambda same: same)) >= F.lit(support) * F.col("constants")
+        sorted_out = large_lines.join(leaves, "leaf", "left").select(
+            "leaf", *WHERE, "template", F.coalesce(follows, F.lit(False)).alias("follows")
+        )
+        if level < levels:
+            sorted_out = scratch.keep(sorted_out, f"sorted_out-{level}")
+        keyed = keyed.union(sorted_out.where("follows").select(*WHERE, F.xxhash64("leaf", F.lit("leaf"))))
+        rest = sorted_out.where("NOT follows")
+        if level == levels:
+            keyed = keyed.union(rest.select(*WHERE, F.xxhash64("template")))
+            break
+        # Copies of a document have the same lines in the same places.
+        rest = rest.dropDuplicates(["leaf", *WHERE])
+        grouped = scratch.keep(split_groups(rest, support, min_documents), f"grouped-{level}")
+        large_lines = scratch.keep(grouped.join(enough(grouped), "leaf"), f"large_lines-{level}")
+        alone = [rest[c].eqNullSafe(large_lines[c]) for c in WHERE]
+        keyed = keyed.union(rest.join(large_lines, alone, "left_anti").select(*WHERE, F.xxhash64("template")))
+    keyed = scratch.keep(keyed, "lines")
     # Exact copies of a document count once; taking copies out is another operator's work.
     texts = keyed.groupBy("template", "text_hash").agg(F.min("doc_id").alias("doc_id"))
     recurring = scratch.keep(
@@ -118,13 +156,15 @@ def drop_recurring_lines(
     min_documents: int = 10,
     support: float = 0.8,
     constant: float = 0.7,
+    levels: int = 1,
 ) -> DataFrame:
     """The documents without the lines whose template recurs in ``min_documents`` different texts, plus ``n_lines`` and
     ``n_dropped``.
 
     ``depth`` leading tokens lead to a leaf. A leaf's token is constant if the share ``support`` of its lines have it; the
     leaf counts as one template if the share ``constant`` of its tokens are, and a line follows it if it agrees in the
-    share ``support`` of them. Lines under ``min_tokens`` tokens always stay, as do blank ones and those of one or two
+    share ``support`` of them. With more than one of the ``levels``, the other lines of a leaf are split into groups that
+    are treated as leaves in turn. Lines under ``min_tokens`` tokens always stay, as do blank ones and those of one or two
     tokens that are all variable. The document of the smallest id that has a template keeps its lines; a null id is larger than any other.
 
     A null text stays null and has 0 lines; an empty one has one line, empty. Rows of the same id and text lose the same
@@ -134,7 +174,7 @@ def drop_recurring_lines(
     columns = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     drops = recurring_lines(
         docs.select("doc_id", "text"),
-        depth=depth, min_tokens=min_tokens, min_documents=min_documents, support=support, constant=constant,
+        depth=depth, min_tokens=min_tokens, min_documents=min_documents, support=support, constant=constant, levels=levels,
     ).select(F.col("doc_id").alias("drop_doc"), "text_hash", "positions")
     rows = docs.select(F.struct(*[F.col(c) for c in columns]).alias("doc"), F.xxhash64("text").alias("doc_hash"))
     same = F.col("doc.doc_id").eqNullSafe(F.col("drop_doc")) & (F.col("doc_hash") == F.col("text_hash"))

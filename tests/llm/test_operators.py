@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from lateline.llm import components, minhash, mixing, packing, private_data, repeats, syncmers, toxicity
+from lateline.llm import components, line_templates, minhash, mixing, packing, private_data, repeats, syncmers, toxicity
 from lateline.llm.cover_tree import grow
 from lateline.llm.storage import Scratch
 from llm.cases import documents
@@ -320,3 +320,16 @@ def test_short_recurring_lines_leave_the_pipeline(spark):
     got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, documents(spark, rows), "").collect()}
     assert got[0] == rows[0][1]
     assert all(got[n] == f"\n{n}\nonly w{'abcdefghijkl'[n]} has this" for n in range(1, 12))
+
+
+def test_leaf_with_several_templates(spark):
+    names = "ada bea cleo dora eva fay gus hal ida jon kim lea".split()
+    rows = []
+    for n, name in enumerate(names):
+        lines = [f"this page was written by {name} for our site", f"this page was last seen near {name} old town", f"this page was {' '.join(f'{w}{name}' for w in 'pqrstu')}"]
+        rows.append((n, "\n".join(lines), "en", "a", 1))
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, documents(spark, rows), "").collect()}
+    assert got[0] == rows[0][1]
+    assert all(got[n] == rows[n][1].split("\n")[2] for n in range(1, 12))
+    kept = line_templates.drop_recurring_lines(documents(spark, [*rows, *rows[:3]]), levels=3)
+    assert sorted(r.n_dropped for r in kept.collect()) == [0, 0] + [2] * 13
