@@ -333,3 +333,20 @@ def test_leaf_with_several_templates(spark):
     assert all(got[n] == rows[n][1].split("\n")[2] for n in range(1, 12))
     kept = line_templates.drop_recurring_lines(documents(spark, [*rows, *rows[:3]]), levels=3)
     assert sorted(r.n_dropped for r in kept.collect()) == [0, 0] + [2] * 13
+
+
+def test_likeness_of_all_lengths_and_scripts(spark):
+    rng = np.random.default_rng(11)
+    letters, signs = "abcdefghijklmnopqrstuvwxyz      ", [chr(0x4E00 + i) for i in range(2_000)]
+    latin = lambda n: "".join(rng.choice(list(letters), n))
+    chinese = "".join(rng.choice(signs, 900))
+    near, long = latin(238), latin(303)
+    pairs = [
+        (near, near + "tail", 0.9), (long, long[:202] + latin(11), 0.5), (chinese, chinese[:600] + "".join(rng.choice(signs, 300)), 0.3),
+        (latin(400), latin(200), 0.0),
+    ]
+    df = spark.createDataFrame([(a, b) for a, b, _ in pairs], "a string, b string").repartition(1)
+    got = df.select("a", syncmers.likeness(syncmers.anchors(df["a"]), syncmers.anchors(df["b"]))).collect()
+    by_text = {r[0]: r[1] for r in got}
+    for a, _, least in pairs:
+        assert by_text[a] >= least if least else by_text[a] < 0.05
