@@ -350,3 +350,14 @@ def test_likeness_of_all_lengths_and_scripts(spark):
     by_text = {r[0]: r[1] for r in got}
     for a, _, least in pairs:
         assert by_text[a] >= least if least else by_text[a] < 0.05
+
+
+def test_fingerprints_grow_with_the_text(spark):
+    rng = np.random.default_rng(12)
+    words = lambda n: [f"w{i}" for i in rng.integers(0, 1_000_000, n)]
+    passage = words(400)
+    one, other = (" ".join([*words(8_000), *passage, *words(8_000)]) for _ in range(2))
+    df = spark.createDataFrame([(one, other)], "a string, b string")
+    found = df.select(syncmers.anchors(df["a"]), syncmers.anchors(df["b"])).first()
+    hashes = [{x >> syncmers.POSITION_BITS for x in f} for f in found]
+    assert min(map(len, hashes)) > 1_000 and len(hashes[0] & hashes[1]) > 15
