@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lateline.llm import private_data
+from lateline.llm.block_names import name_documents
 from lateline.llm.cover_tree import top_k
 from lateline.llm.line_templates import drop_recurring_lines
 from lateline.llm.minhash import link_documents
@@ -268,6 +269,26 @@ def op4_find_private_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op11_name_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    named = name_documents(table(spark, sf_dir, "documents"))
+    return named.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+SQL["op11_name_documents"] = r"""
+WITH plain AS (
+  SELECT doc_id, length(coalesce("text", '')) AS n, regexp_replace(coalesce("text", ''), '[\x20\x09-\x0D]', '', 'g') AS plain
+  FROM documents
+),
+grouped AS (
+  SELECT doc_id, plain, count(*) OVER (PARTITION BY plain) AS group_size,
+         first_value(doc_id) OVER best AS keep_id, row_number() OVER best = 1 AS kept
+  FROM plain WINDOW best AS (PARTITION BY plain ORDER BY n DESC, doc_id NULLS LAST)
+)
+SELECT doc_id, keep_id, group_size, kept, sha256(plain) AS text_sha256 FROM grouped
+"""
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
