@@ -15,6 +15,7 @@ from lateline.llm.line_templates import drop_recurring_lines
 from lateline.llm.minhash import link_documents
 from lateline.llm.mixing import mix_sources, token_count
 from lateline.llm.packing import pack_documents
+from lateline.llm.periodic_runs import report_runs
 from lateline.llm.repeats import remove_repeats
 from lateline.llm.private_data import find_private_data
 from lateline.llm.syncmers import fingerprint_documents
@@ -289,6 +290,11 @@ SELECT doc_id, keep_id, group_size, kept, sha256(plain) AS text_sha256 FROM grou
 """
 
 
+@query
+def op13_find_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report_runs(table(spark, sf_dir, "documents"), loops=True)
+
+
 QUERIES["pipeline"] = corpus_pipeline.run
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

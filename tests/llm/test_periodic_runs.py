@@ -1,0 +1,110 @@
+"""Runs against a search of every period; extensions against a loop; whole tables against brute force."""
+
+import hashlib
+import re
+import zlib
+from fractions import Fraction
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+import __spark_entry__ as entry
+from lateline.llm import periodic_runs
+from lateline.llm.periodic_runs import Extensions, find_runs, report_runs
+from llm.cases import LONG, ROWS, documents
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def every_run(words):
+    """All runs, period by period, by comparing the words with themselves one period on."""
+    found, w = {}, np.asarray(words)
+    for p in range(1, len(w) // 4 + 1):
+        same = np.concatenate([[False], w[:-p] == w[p:], [False]])
+        edges = np.flatnonzero(np.diff(same.astype(int)))
+        for begin, end in zip(edges[::2], edges[1::2]):
+            if end - begin + p >= max(6, 4 * p):
+                found.setdefault((int(begin), int(end - begin) + p), p)
+    return sorted((start, length, p) for (start, length), p in found.items())
+
+
+def report(doc_id, text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    h = None if doc_id is None else zlib.crc32(str(doc_id).encode())
+    if h is not None and h % 10 == 0 and words:
+        n, g = len(words), h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    numbers = {w: i for i, w in enumerate(dict.fromkeys(words))}
+    runs = every_run([numbers[w] for w in words])
+    gone = {i for s, n, p in runs for i in range(s + p, s + n)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=(None, None, None))
+    return (
+        doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+        hashlib.sha256("".join(f"{s},{n},{p}\n" for s, n, p in runs).encode()).hexdigest(),
+        hashlib.sha256(" ".join(w for i, w in enumerate(words) if i not in gone).encode()).hexdigest(),
+    )
+
+
+def ordered(rows):
+    return sorted((tuple(r) for r in rows), key=repr)
+
+
+def test_whole_table(spark):
+    table = pq.read_table(f"{SF_DIR}/documents.parquet", columns=["doc_id", "text"]).to_pydict()
+    want = [report(i, t) for i, t in zip(table["doc_id"], table["text"])]
+    assert sum(r[1] > 0 for r in want) > 10
+    assert ordered(entry.queries()["op13_find_periodic_runs"](spark, SF_DIR).collect()) == ordered(want)
+
+
+def test_edge_rows(spark):
+    rows = [r for r in ROWS if r[1] != LONG]
+    assert ordered(report_runs(documents(spark, rows, clashing=True), loops=True).collect()) == ordered(report(r[0], r[1]) for r in rows)
+    assert report_runs(documents(spark, []), loops=True).collect() == []
+
+
+def test_long_text_is_searched_whole(spark):
+    words = LONG.split()  # 977 words over and over
+    row = report_runs(documents(spark, [(7, LONG, "", "", 0)])).first()
+    assert (row.n_runs, row.start, row.length, row.period) == (1, 0, 30_000, 977)
+    assert row.collapsed_sha256 == hashlib.sha256(" ".join(words[:977]).encode()).hexdigest()
+    same = report_runs(documents(spark, [(8, "x " * 1_000_000, "", "", 0)])).first()
+    assert (same.n_runs, same.start, same.length, same.period, same.exponent_milli) == (1, 0, 1_000_000, 1, 10**9)
+
+
+WORDS = st.lists(st.integers(0, 2), max_size=60) | st.builds(
+    lambda head, loop, times, tail: head + loop * times + tail,
+    st.lists(st.integers(0, 3), max_size=9), st.lists(st.integers(0, 3), min_size=1, max_size=40), st.integers(1, 9), st.lists(st.integers(0, 3), max_size=9),
+)
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(WORDS, min_size=1, max_size=5))
+def test_any_words(texts):
+    got = find_runs([np.array(t, dtype=np.int64) for t in texts])
+    assert [[tuple(r) for r in g.tolist()] for g in got] == [every_run(t) for t in texts]
+
+
+@settings(max_examples=80, deadline=None)
+@given(WORDS.filter(lambda w: len(w) > 1))
+def test_extensions(words):
+    values = np.array([*words, 9])
+    a, b = np.triu_indices(len(values), 1)
+    want = [next(k for k in range(len(values)) if j + k == len(values) - 1 or values[i + k] != values[j + k]) for i, j in zip(a, b)]
+    assert Extensions(values)(a, b).tolist() == want
+
+
+def test_cover_has_every_difference():
+    m, cover = periodic_runs.MODULUS, periodic_runs.COVER
+    assert {(a - b) % m for a in cover for b in cover} == set(range(m))
+
+
+@pytest.mark.parametrize("points", [1, 7, 1000])
+def test_parts_of_the_grid(monkeypatch, points):
+    monkeypatch.setattr(periodic_runs, "GRID_POINTS", 8 * points)
+    texts = [[1, 2] * 30, [3] * 50 + [1, 2, 3, 4] * 9, [], [5] * 5, [6] * 6]
+    assert [[tuple(r) for r in g.tolist()] for g in find_runs([np.array(t, dtype=np.int64) for t in texts])] == [every_run(t) for t in texts]
