@@ -11,6 +11,7 @@ import corpus_pipeline
 from lateline.llm import private_data
 from lateline.llm.block_names import name_documents
 from lateline.llm.cover_tree import top_k
+from lateline.llm.filter_audit import audit_filters
 from lateline.llm.line_templates import drop_recurring_lines
 from lateline.llm.minhash import link_documents
 from lateline.llm.mixing import mix_sources, token_count
@@ -290,6 +291,59 @@ SELECT doc_id, keep_id, group_size, kept, sha256(plain) AS text_sha256 FROM grou
 """
 
 
+@query
+def op12_audit_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+SQL["op12_audit_filters"] = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce("text", '') AS t,
+         regexp_extract_all(coalesce("text", ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents
+),
+least AS (SELECT t, min(doc_id) AS first_id FROM texts GROUP BY t),
+marks AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS bad
+  FROM labels GROUP BY doc_id
+),
+failed AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(bad, 0) AS bad,
+         CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS fails
+  FROM texts JOIN least USING (t) LEFT JOIN marks USING (doc_id)
+),
+counted AS (SELECT part, fails, count(*) AS n, sum(good) AS n_good, sum(bad) AS n_bad FROM failed GROUP BY part, fails),
+letters (x) AS (VALUES ('A'), ('B'), ('C'), ('D'), ('E')),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+),
+steps AS (SELECT filter_order, CAST(unnest(range(1, 6)) AS INTEGER) AS step FROM orders),
+states AS (
+  SELECT part, filter_order, step, filter_order[step] AS letter, n, n_good, n_bad, fails, contains(fails, filter_order[step]) AS fails_it,
+         len(translate(fails, filter_order[1:step - 1], '')) < len(fails) AS gone
+  FROM counted, steps
+),
+summed AS (
+  SELECT part, filter_order, step, letter,
+         CAST(coalesce(sum(n) FILTER (NOT gone AND NOT fails_it), 0) AS BIGINT) AS kept,
+         CAST(coalesce(sum(n) FILTER (NOT gone AND fails_it), 0) AS BIGINT) AS removed,
+         CAST(coalesce(sum(n) FILTER (gone AND fails_it), 0) AS BIGINT) AS redundant,
+         CAST(coalesce(sum(n) FILTER (fails = letter), 0) AS BIGINT) AS unique_fails,
+         CAST(coalesce(sum(n_good) FILTER (NOT gone AND fails_it), 0) AS BIGINT) AS good_lost,
+         CAST(coalesce(sum(n_bad) FILTER (NOT gone AND fails_it), 0) AS BIGINT) AS toxic_lost
+  FROM states GROUP BY part, filter_order, step, letter
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM summed
+"""
+
+
 @query
 def op13_find_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report_runs(table(spark, sf_dir, "documents"), loops=True)
