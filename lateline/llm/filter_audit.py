@@ -29,8 +29,8 @@ COPY = 1 << FILTERS.index("E")
 #: Code points of the prefixes among which a text's range is chosen.
 PREFIXES = (1, 2, 4, 8, 16, 32, 64)
 
-#: Bytes of text that a range, and a task's trie, should hold; and ranges of the corpus at most, so that the list of
-#: prefixes that every task gets has at most ``len(PREFIXES) * MOST_RANGES`` entries.
+#: Bytes of text that a range, and a task's trie, should hold; and ranges of the corpus at most, unless the session asks
+#: for more partitions. The list of prefixes that every task gets has at most 4 * ``len(PREFIXES)`` entries a range.
 ROOM, MOST_RANGES = 32 << 20, 500_000
 
 NOT_UPPER = bytes(b for b in range(256) if not 65 <= b <= 90)
@@ -152,10 +152,8 @@ class Sender:
             yield frame.astype({"doc_id": "Int64", "slot": "Int32"})
 
 
-def dense_prefixes(docs: DataFrame, total: int, room: int) -> dict[str, int]:
-    """Prefixes with more text than a range should hold, and their bytes. At most ``len(PREFIXES) * total / room``."""
-    if total <= room:
-        return {}
+def dense_prefixes(docs: DataFrame, room: int) -> dict[str, int]:
+    """Prefixes with more text than ``room``, and their bytes. At most ``len(PREFIXES)`` times the text by ``room``."""
     starts = F.explode(F.array(*[F.struct(F.lit(n).alias("length"), F.substring("text", 1, n).alias("prefix")) for n in PREFIXES]))
     counted = docs.where("text <> ''").select(starts.alias("start"), F.octet_length("text").cast("long").alias("size"))
     dense = counted.groupBy("start.length", "start.prefix").agg(F.sum("size").alias("size")).where(F.col("size") > room)
@@ -179,15 +177,17 @@ def fail_masks(docs: DataFrame, *, room: int = ROOM) -> DataFrame:
     )
     total = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     room = max(room, -(-total // MOST_RANGES))
-    dense = dense_prefixes(rows, total, room)
-    listed = spark.sparkContext.broadcast(dense)
+    ranges = max(shuffle_partitions(spark), -(-total // room))
+    # A quarter of an even share, so that ranges of whole prefixes come out about even.
+    share = max(total // (4 * ranges), 1)
+    listed = spark.sparkContext.broadcast(dense_prefixes(rows, share))
 
     def place(text: str) -> tuple[str, int]:
         """The shortest prefix that isn't dense; texts alike beyond all prefixes are dealt by a hash of the whole."""
         for n in PREFIXES:
             if (size := listed.value.get(text[:n])) is None:
                 return text[:n], 0
-        return text[: PREFIXES[-1]], crc32(text.encode("utf-8", "surrogatepass")) % -(-size // room)
+        return text[: PREFIXES[-1]], crc32(text.encode("utf-8", "surrogatepass")) % -(-size // share)
 
     def emptied(trie: Trie, out: Sender) -> Iterator[pd.DataFrame]:
         """Every text of a trie with the rows of its least id; more than one only if an id is repeated in other parts."""
@@ -227,7 +227,6 @@ def fail_masks(docs: DataFrame, *, room: int = ROOM) -> DataFrame:
 
     sent = scratch.keep(rows.mapInPandas(in_tasks, SENT), "texts")
     masks = ["doc_id", "part", "mask", "n"]
-    ranges = max(shuffle_partitions(spark), -(-total // room))
     ranged = sent.where("text IS NOT NULL").repartitionByRange(ranges, "prefix", "slot").mapInPandas(in_ranges, SENT)
     return scratch.keep(sent.where("text IS NULL").select(*masks).union(ranged.select(*masks)), "masks")
 

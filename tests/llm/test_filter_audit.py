@@ -92,7 +92,7 @@ def test_one_text_and_one_beginning_hold_most_rows(spark):
         assert counts == {True: 1999 + 1000, False: 1 + 2000 + 1000}
     rows = docs.select("text")
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0]
-    dense = dense_prefixes(rows, total, 4000)
+    dense = dense_prefixes(rows, 4000)
     assert len(dense) <= len(filter_audit.PREFIXES) * total / 4000 and "one beginning on" in dense and max(map(len, dense)) == 64
 
 
