@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, Window
@@ -33,13 +34,20 @@ DEDUPED_COLUMNS = [
 ]
 
 
-def dedup_latest(unioned: DataFrame) -> DataFrame:
+def dedup_latest(unioned: DataFrame, precedence: Sequence[str] = ()) -> DataFrame:
     """The last snapshot of each stop and month; the larger id wins among equal times.
 
+    Where several sources know a stop, one that ``precedence`` names earlier wins whatever its times; sources that it
+    doesn't name are equal and come last.
+
     ``row_number() = 1`` makes Catalyst put a group limit in front of the shuffle: every task sends on at most one
     row per stop, so a stop with very many snapshots reaches its reducer as one row per task, not as all of them.
     """
-    latest_first = Window.partitionBy(*contract.STOP_KEY).orderBy(F.desc_nulls_first("time"), F.desc_nulls_first("id"))
+    order = [F.desc_nulls_first("time"), F.desc_nulls_first("id")]
+    if precedence:
+        place = F.array_position(F.array(*[F.lit(source) for source in precedence]), F.col("ingestion_source"))
+        order.insert(0, F.asc_nulls_last(F.nullif(place, F.lit(0))))
+    latest_first = Window.partitionBy(*contract.STOP_KEY).orderBy(*order)
     return (
         unioned.select(*DEDUPED_COLUMNS, F.row_number().over(latest_first).alias("observation_rank"))
         .where(F.col("observation_rank") == 1)

@@ -30,7 +30,8 @@ from lateline.sources.bronze import (
     stage_months,
     staging_folder,
 )
-from lateline.sources.raw import load_raw, read_raw, write_raw
+from lateline.sources.messages import message_observations, read_messages
+from lateline.sources.raw import delete_month, derive_source_month, load_raw, read_raw, write_raw
 from lateline.workspace import configure, delete, folders, path_exists, replace_folder, sized_shuffles, stored_bytes
 
 logger = logging.getLogger(__name__)
@@ -57,10 +58,19 @@ class Store:
     def bronze(self) -> str:
         return f"{self.root}/bronze/monthly-raw"
 
+    @property
+    def messages(self) -> str:
+        return f"{self.root}/bronze/api-raw"
+
     @property
     def raw(self) -> str:
         return f"{self.root}/raw_observations"
 
+    @property
+    def raw_messages(self) -> str:
+        """Stops parsed from messages, in the columns of the raw table."""
+        return f"{self.root}/raw_api_observations"
+
     def table(self, name: str) -> str:
         return f"{self.root}/{name}"
 
@@ -131,6 +141,9 @@ class Staged:
                 delete(self.spark, f"{self.store.table(name)}/{folder}")
 
 
+#: The official release of a month replaces what messages said of a stop before.
+PRECEDENCE = ("monthly", "api")
+
 NAMES, LINES = ["eva", "station_name", "xml_station_name"], ["train_type", "line_number"]
 ENRICHED, STATION_NAMES, TRAIN_LINES = "int_observations_enriched", "station_names_by_month", "train_lines_by_month"
 MARTS = ("mart_monthly_station_perf", "mart_monthly_line_perf")
@@ -186,11 +199,15 @@ def _staged_layers(
         others = raw.where(~F.col("source_month").isin(months))
         require(quality.ids_loaded_before(fresh_raw, others))
     prepared = stage_observations(fresh_raw)
-    unioned = union_sources(monthly=prepared)
+    sources = {"monthly": prepared}
+    if path_exists(spark, staged.store.raw_messages):
+        told = read_raw(spark, staged.store.raw_messages)
+        sources["api"] = stage_observations(told if whole else told.where(F.col("source_month").isin(months)))
+    unioned = union_sources(**sources)
     # Staging only renames and casts, so its ids are unique exactly if the raw ones are, which is settled above.
     require(quality.audit_all({"staged": prepared, "unioned": unioned}, ["not_null", "accepted_values"]))
 
-    rebuilt = staged.write(enrich(dedup_latest(unioned), cutover=cutover), ENRICHED, "source_month")
+    rebuilt = staged.write(enrich(dedup_latest(unioned, PRECEDENCE if len(sources) > 1 else ()), cutover=cutover), ENRICHED, "source_month")
     require(quality.audit_all({"deduped": rebuilt, "enriched": rebuilt}))
     service_month = obs.service_month(F.col("service_date"))
 
@@ -268,6 +285,34 @@ def run_months(
     return spark.createDataFrame([(m, counts[m]) for m in months], "month string, bronze_row_count long")
 
 
+def parse_months(spark: SparkSession, store: Store, months: Iterable[str]) -> dict[str, int]:
+    """Makes the stops of the given months anew from the landed messages and replaces them in their raw table.
+
+    Plans are fetched before the day they are for and changes after it, so messages fetched in the neighbouring months
+    are read too. Returns the stops of each month; a month without any loses those it had.
+    """
+    configure(spark)
+    months = expand_months(months)
+    fetched = sorted({m for month in months for m in (previous_month(month), month, next_month(month))})
+    stops = derive_source_month(message_observations(read_messages(spark, store.messages, fetched)))
+    rows = stops.where(F.col("source_month").isin(months)).withColumn("load_month", F.col("source_month"))
+    for month in months:
+        delete_month(spark, store.raw_messages, month)
+    write_raw(rows, store.raw_messages)
+    counted = read_raw(spark, store.raw_messages).where(F.col("load_month").isin(months)).groupBy("load_month").count().collect()
+    return dict.fromkeys(months, 0) | {r["load_month"]: r["count"] for r in counted}
+
+
+def run_messages(
+    spark: SparkSession, store: Store, months: Iterable[str], *, cutover: date = contract.COVERAGE_CUTOVER
+) -> DataFrame:
+    """Parses the landed messages of the given months, rebuilds these months and reports their stops. Where the official
+    release of a month is loaded too, its stops win."""
+    counts = parse_months(spark, store, months)
+    build_layers(spark, store, list(counts), cutover=cutover)
+    return spark.createDataFrame(list(counts.items()), "month string, message_stop_count long")
+
+
 def backfill(
     observations: DataFrame,
     file_month: Column,
