@@ -104,7 +104,8 @@ def _identified(heads: DataFrame, names: DataFrame, longest: int, scratch: Scrat
     named = scratch.keep(heads.drop("keys").join(identities, "row"), "identities")
     order = F.struct(-F.col("n_chars"), F.col("doc_id").isNull(), F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"))
     groups = named.groupBy("level", "name").agg(F.count("*").alias("group_size"), F.min(order).alias("best"))
-    groups = groups.select("level", "name", "group_size", "best.keep_id", "best.keep_row")
+    # Stored, so that the join below has a stage of its own, in which the adaptive plan can split a large group.
+    groups = scratch.keep(groups.select("level", "name", "group_size", "best.keep_id", "best.keep_row"), "best")
     return scratch.keep(
         named.join(groups, ["level", "name"]).select(
             "doc_id", "n_chars", "text_sha256", "level", "name", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept")
