@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lateline.contract import RANKING_FLOOR
@@ -15,8 +15,11 @@ LINE_KEY = ["train_type", "line_number"]
 PERCENTILES = {"median_delay_min": 0.5, "p90_delay_min": 0.9, "p95_delay_min": 0.95, "p99_delay_min": 0.99}
 
 
-def delay_histogram(enriched: DataFrame, key: list[str]) -> DataFrame:
-    """Rows counted by key, month, coverage era, cancellation and delay.
+COUNTED = ["station_coverage_era", "is_canceled", "is_on_time", "delay"]
+
+
+def count_delays(enriched: DataFrame, key: list[str], period: Column) -> DataFrame:
+    """Rows counted by key, period, coverage era, cancellation and delay.
 
     This is the only step that meets every observation, and a plain count is what Spark combines best before a
     shuffle: generated hash aggregation on the map side, one record per distinct delay after it. A key that holds a
@@ -24,7 +27,7 @@ def delay_histogram(enriched: DataFrame, key: list[str]) -> DataFrame:
     """
     return enriched.groupBy(
         *key,
-        obs.service_month(F.col("service_date")).alias("service_month"),
+        period,
         "station_coverage_era",
         "is_canceled",
         "is_on_time",
@@ -32,8 +35,23 @@ def delay_histogram(enriched: DataFrame, key: list[str]) -> DataFrame:
     ).agg(F.count("*").alias("n"))
 
 
-def monthly_performance(enriched: DataFrame, key: list[str], floor: int = RANKING_FLOOR) -> DataFrame:
-    """Counts, exact percentiles and rates by key, month and coverage era.
+def delay_histogram(enriched: DataFrame, key: list[str]) -> DataFrame:
+    return count_delays(enriched, key, obs.service_month(F.col("service_date")).alias("service_month"))
+
+
+def delays_by_day(enriched: DataFrame, key: list[str]) -> DataFrame:
+    """The state that daily and monthly figures are made from: counts of days add up to those of any longer period."""
+    return count_delays(enriched, key, F.col("service_date"))
+
+
+def delays_by_month(by_day: DataFrame, key: list[str]) -> DataFrame:
+    """Months from days; no observation is read again."""
+    month = obs.service_month(F.col("service_date")).alias("service_month")
+    return by_day.groupBy(*key, month, *COUNTED).agg(F.sum("n").alias("n"))
+
+
+def performance(counts: DataFrame, key: list[str], period: str, floor: int = RANKING_FLOOR) -> DataFrame:
+    """Counts, exact percentiles and rates by key, period and coverage era, from counted delays.
 
     Canceled rows count as observations and for the cancellation rate only. A row that is neither canceled nor not
     canceled (NULL) is an observation and nothing else.
@@ -41,22 +59,18 @@ def monthly_performance(enriched: DataFrame, key: list[str], floor: int = RANKIN
     ran = ~F.col("is_canceled")
     n, delay = F.col("n"), F.when(ran, F.col("delay"))
     levels = F.percentile(delay, F.array(*[F.lit(p) for p in PERCENTILES.values()]), n)
-    totals = (
-        delay_histogram(enriched, key)
-        .groupBy(*key, "service_month", "station_coverage_era")
-        .agg(
-            F.sum(n).alias("observation_count"),
-            F.sum(F.when(F.col("is_canceled"), n).otherwise(0)).alias("cancellation_count"),
-            F.sum(F.when(ran, n).otherwise(0)).alias("non_canceled_observation_count"),
-            F.sum(delay * n).alias("delay_sum"),
-            F.sum(F.when(delay.isNotNull(), n)).alias("delay_rows"),
-            levels.alias("levels"),
-            F.sum(F.when(ran & F.col("is_on_time"), n).otherwise(0)).alias("on_time_count"),
-        )
+    totals = counts.groupBy(*key, period, "station_coverage_era").agg(
+        F.sum(n).alias("observation_count"),
+        F.sum(F.when(F.col("is_canceled"), n).otherwise(0)).alias("cancellation_count"),
+        F.sum(F.when(ran, n).otherwise(0)).alias("non_canceled_observation_count"),
+        F.sum(delay * n).alias("delay_sum"),
+        F.sum(F.when(delay.isNotNull(), n)).alias("delay_rows"),
+        levels.alias("levels"),
+        F.sum(F.when(ran & F.col("is_on_time"), n).otherwise(0)).alias("on_time_count"),
     )
     return totals.select(
         *key,
-        "service_month",
+        period,
         "station_coverage_era",
         "observation_count",
         "cancellation_count",
@@ -70,6 +84,19 @@ def monthly_performance(enriched: DataFrame, key: list[str], floor: int = RANKIN
     )
 
 
+def monthly_performance(enriched: DataFrame, key: list[str], floor: int = RANKING_FLOOR) -> DataFrame:
+    return performance(delay_histogram(enriched, key), key, "service_month", floor)
+
+
+def daily_performance(by_day: DataFrame, key: list[str], floor: int = RANKING_FLOOR) -> DataFrame:
+    return performance(by_day, key, "service_date", floor)
+
+
+def monthly_from_days(by_day: DataFrame, key: list[str], floor: int = RANKING_FLOOR) -> DataFrame:
+    """Equal to ``monthly_performance`` of the rows that the days were counted from."""
+    return performance(delays_by_month(by_day, key), key, "service_month", floor)
+
+
 def mart_monthly_station_perf(enriched: DataFrame, floor: int = RANKING_FLOOR) -> DataFrame:
     return monthly_performance(enriched, STATION_KEY, floor)
 

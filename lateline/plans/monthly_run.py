@@ -21,8 +21,10 @@ from lateline.operators import quality
 from lateline.operators.marts import Marts
 from lateline.operators.observations import dedup_latest, enrich
 from lateline.operators.staging import stage_observations, union_sources
+from lateline.plans.publication import Staged, recover
 from lateline.sources.bronze import (
     bronze_path,
+    has_landed,
     land_month,
     publish_months,
     read_landed,
@@ -75,9 +77,10 @@ class Store:
         return f"{self.root}/{name}"
 
 
-def gate(spark: SparkSession, store: Store, month: str) -> tuple[bool, int]:
-    """Whether the landed file passes, and its rows; a file that is missing or not Parquet has none."""
-    path = bronze_path(month, store.bronze)
+def gate(spark: SparkSession, store: Store, month: str, path: str | None = None) -> tuple[bool, int]:
+    """Whether the landed file, or another one for the month, passes, and its rows; a file that is missing or not
+    Parquet has none."""
+    path = path or bronze_path(month, store.bronze)
     if not path_exists(spark, path):
         logger.error("%s: no file", month)
         return False, 0
@@ -104,43 +107,6 @@ def require(audited: DataFrame) -> None:
         raise CheckFailed("; ".join(f"{r.table_name} {r.check}: {r.failing_rows}" for r in failed))
 
 
-@dataclass(frozen=True)
-class Staged:
-    """A run's tables beside the stored ones. They are audited there and moved into place when all of them are sound."""
-
-    spark: SparkSession
-    store: Store
-    folder: str
-
-    def path(self, name: str) -> str:
-        return f"{self.folder}/{name}"
-
-    def write(self, model: DataFrame, name: str, by: str | None = None) -> DataFrame:
-        writer = (model.hint("rebalance", by) if by else model).write
-        (writer.partitionBy(by) if by else writer).parquet(self.path(name))
-        return self.spark.read.schema(model.schema).parquet(self.path(name))
-
-    def stored(self, name: str, like: DataFrame) -> DataFrame:
-        """The table as it is now, empty if there is none."""
-        path = self.store.table(name)
-        if not path_exists(self.spark, path):
-            return like.limit(0)
-        return self.spark.read.schema(like.schema).parquet(path).select(*like.columns)
-
-    def publish(self, name: str, by: str | None = None, months: list[str] | None = None) -> None:
-        """Replaces a table, or its folders of the given months; a month without staged rows goes."""
-        if by is None or months is None:
-            replace_folder(self.spark, self.path(name), self.store.table(name))
-            return
-        there = set(folders(self.spark, self.path(name)))
-        for month in months:
-            folder = f"{by}={month}"
-            if folder in there:
-                replace_folder(self.spark, f"{self.path(name)}/{folder}", f"{self.store.table(name)}/{folder}")
-            else:
-                delete(self.spark, f"{self.store.table(name)}/{folder}")
-
-
 #: The official release of a month replaces what messages said of a stop before.
 PRECEDENCE = ("monthly", "api")
 
@@ -154,7 +120,7 @@ def _months_between(table: DataFrame) -> list[str]:
     return sorted(str(r[0]) for r in table.select("service_month").distinct().collect() if r[0] is not None)
 
 
-def _around(service_months: list[str]) -> list[str]:
+def around_months(service_months: list[str]) -> list[str]:
     """Source months whose rows may fall into these service months: times are cut for one and rounded for the other."""
     own = {m[:7] for m in service_months}
     return sorted(own | {next_month(m) for m in own} | {previous_month(m) for m in own})
@@ -165,6 +131,8 @@ def build_layers(
 ) -> Marts:
     """Staging to marts: written aside, audited, then published, so a run that fails leaves the tables as they were.
 
+    What an earlier run began to publish before it broke off is finished first: the tables that this one compares with are whole.
+
     With ``months`` only the rows of those source months are rebuilt, and the marts of every service month that these
     rows, or the ones they replace, fall into; such a mart is made from all rows of the month, those of neighbouring
     source months included. The result equals a full refresh, which ``None`` asks for: it replaces every table.
@@ -173,26 +141,27 @@ def build_layers(
     themselves, and by a semi-join against the others. Dimensions come from small tables of the distinct names and
     lines of each source month.
     """
+    recover(spark, store.root)
     whole = months is None
     raw = read_raw(spark, store.raw)
     fresh_raw = raw if whole else raw.where(F.col("source_month").isin(months))
     # Files may hold rows of a neighbouring month, so what is rebuilt is sized by a margin of two more months.
     size = stored_bytes(spark, store.raw)
     share = 1.0 if whole else min(1.0, (len(months) + 2) / max(1, len(folders(spark, store.raw))))
-    staged = Staged(spark, store, f"{store.root}/_staging/{uuid.uuid4().hex}")
+    staged = Staged(spark, store.root, uuid.uuid4().hex)
     try:
         with sized_shuffles(spark, int(size * share)):
-            built, publish = _staged_layers(staged, raw, fresh_raw, months, cutover)
-            publish()
+            built = _staged_layers(staged, store, raw, fresh_raw, months, cutover)
+            staged.publish()
     finally:
-        delete(spark, staged.folder)
+        staged.discard()
     return built()
 
 
 def _staged_layers(
-    staged: Staged, raw: DataFrame, fresh_raw: DataFrame, months: list[str] | None, cutover: date
-) -> tuple[Callable[[], Marts], Callable[[], None]]:
-    """Writes and audits all tables; returns how to read and how to publish them."""
+    staged: Staged, store: Store, raw: DataFrame, fresh_raw: DataFrame, months: list[str] | None, cutover: date
+) -> Callable[[], Marts]:
+    """Writes and audits all tables and notes what they replace; returns how to read them once published."""
     spark, whole = staged.spark, months is None
     require(quality.audit(fresh_raw, "raw_observations"))
     if not whole:
@@ -200,8 +169,8 @@ def _staged_layers(
         require(quality.ids_loaded_before(fresh_raw, others))
     prepared = stage_observations(fresh_raw)
     sources = {"monthly": prepared}
-    if path_exists(spark, staged.store.raw_messages):
-        told = read_raw(spark, staged.store.raw_messages)
+    if path_exists(spark, store.raw_messages):
+        told = read_raw(spark, store.raw_messages)
         sources["api"] = stage_observations(told if whole else told.where(F.col("source_month").isin(months)))
     unioned = union_sources(**sources)
     # Staging only renames and casts, so its ids are unique exactly if the raw ones are, which is settled above.
@@ -221,7 +190,7 @@ def _staged_layers(
     if not whole:
         before = staged.stored(ENRICHED, rebuilt).where(F.col("source_month").isin(months))
         touched = _months_between(rebuilt.unionByName(before).select(service_month.alias("service_month")))
-        near = with_stored(rebuilt, ENRICHED).where(F.col("source_month").isin(_around(touched)))
+        near = with_stored(rebuilt, ENRICHED).where(F.col("source_month").isin(around_months(touched)))
         rows = near.where(service_month.cast("string").isin(touched))
     marts = [staged.write(getattr(mart_models, name)(rows), name, "service_month") for name in MARTS]
 
@@ -242,19 +211,18 @@ def _staged_layers(
     require(quality.audit_all({**dict(zip(MARTS, marts)), **dimensions}))
     schemas = {**{name: m.schema for name, m in zip(MARTS, marts)}, **{name: d.schema for name, d in dimensions.items()}}
 
-    def publish() -> None:
-        for name in (ENRICHED, *small):
-            staged.publish(name, "source_month", months)
-        for name in MARTS:
-            staged.publish(name, "service_month", touched)
-        for name in dimensions:
-            staged.publish(name)
+    for name in (ENRICHED, *small):
+        staged.replace(name, "source_month", months)
+    for name in MARTS:
+        staged.replace(name, "service_month", touched)
+    for name in dimensions:
+        staged.replace(name)
 
     def built() -> Marts:
-        tables = [spark.read.schema(schemas[n]).parquet(staged.store.table(n)) for n in (*MARTS, *dimensions)]
+        tables = [spark.read.schema(schemas[n]).parquet(store.table(n)) for n in (*MARTS, *dimensions)]
         return Marts(*tables)
 
-    return built, publish
+    return built
 
 
 def run_months(
@@ -268,17 +236,28 @@ def run_months(
 ) -> DataFrame:
     """Runs the given months, each from its source path, and reports their row counts.
 
-    Every month is gated before any is loaded; a month that fails stops the run there.
+    Every month is gated before any is loaded; a month that fails stops the run there. A month that has landed before
+    and is forced is gated aside: what Bronze holds of it is replaced only by a file that passes.
     """
     configure(spark)
+    recover(spark, store.root)
     months = expand_months(sources)
-    for month in months:
-        land_month(spark, sources[month], month, store.bronze, force=force)
-    counts = {}
-    for month in months:
-        passed, counts[month] = gate(spark, store, month)
-        if not passed:
-            raise GateFailed(f"{month}: {counts[month]} rows")
+    folder, counts, again = staging_folder(store.bronze), {}, []
+    try:
+        for month in months:
+            if force and has_landed(spark, month, store.bronze):
+                again.append(month)
+                land_month(spark, sources[month], month, folder)
+            else:
+                land_month(spark, sources[month], month, store.bronze)
+        for month in months:
+            passed, counts[month] = gate(spark, store, month, bronze_path(month, folder) if month in again else None)
+            if not passed:
+                raise GateFailed(f"{month}: {counts[month]} rows")
+        for month in again:
+            replace_folder(spark, bronze_path(month, folder), bronze_path(month, store.bronze))
+    finally:
+        delete(spark, folder)
     for month in months:
         load_raw(spark, store.bronze, store.raw, month, force=force)
     build_layers(spark, store, None if full_refresh else months, cutover=cutover)
@@ -327,6 +306,7 @@ def backfill(
     each landed month has and the stops left after deduplication.
     """
     spark = configure(observations.sparkSession)
+    recover(spark, store.root)
     if observations.columns != contract.OBSERVATION_COLUMNS:
         raise GateFailed(f"schema: {observations.columns}")
     folder = staging_folder(store.bronze)

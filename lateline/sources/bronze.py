@@ -82,17 +82,20 @@ def file_sizes(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
+def has_landed(spark: SparkSession, month: str, root: str) -> bool:
+    """A folder counts as landed once its commit marker is there."""
+    return path_exists(spark, f"{bronze_path(month, root)}/_SUCCESS")
+
+
 def land_month(spark: SparkSession, source: str, month: str, root: str, *, force: bool = False) -> bool:
     """Lands one month in Bronze, values and columns unchanged. A month that is already there stays unless forced.
 
     Spark writes the rows anew, as a folder; nanosecond times keep their numbers but lose the annotation of their type,
-    which Spark can't write. A folder counts as landed once its commit marker is there, so a landing that broke off is
-    done again.
+    which Spark can't write. A landing that broke off is done again.
     """
-    target = bronze_path(month, root)
-    if not force and path_exists(spark, f"{target}/_SUCCESS"):
+    if not force and has_landed(spark, month, root):
         return False
-    scan_nanos_parquet(spark, source).write.mode("overwrite").parquet(target)
+    scan_nanos_parquet(spark, source).write.mode("overwrite").parquet(bronze_path(month, root))
     return True
 
 

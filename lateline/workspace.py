@@ -58,19 +58,54 @@ def delete(spark: SparkSession, path: str) -> None:
     files.delete(target, True)
 
 
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files right below a path."""
+    system, target = _located(spark, path)
+    return sorted(f.getPath().getName() for f in system.listStatus(target) if f.isFile()) if system.exists(target) else []
+
+
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there whole or not at all: written under another name, then renamed."""
+    system, target = _located(spark, path)
+    _, draft = _located(spark, f"{target.getParent()}/.{target.getName()}.draft")
+    system.mkdirs(target.getParent())
+    out = system.create(draft, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not system.rename(draft, target):
+        raise OSError(f"can't write {path}")
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    return spark.read.option("wholetext", True).text(path).first()[0]
+
+
+def _aside(spark: SparkSession, goal):
+    """Where the old content of a folder waits while the new one moves in; readers of the parent don't see it."""
+    return _located(spark, f"{goal.getParent()}/_old-{goal.getName()}")[1]
+
+
+def settle_folder(spark: SparkSession, target: str) -> None:
+    """Removes the old content that a replacement which broke off at its very end has left."""
+    system, goal = _located(spark, target)
+    system.delete(_aside(spark, goal), True)
+
+
 def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
     """Puts a staged folder in the place of another one. File systems rename; object stores copy."""
-    files, source = _located(spark, staged)
+    system, source = _located(spark, staged)
     _, goal = _located(spark, target)
-    old = _located(spark, f"{goal.getParent()}/_old-{goal.getName()}")[1]  # readers of the parent don't see it
-    files.mkdirs(goal.getParent())
-    files.delete(old, True)
-    if files.exists(goal) and not files.rename(goal, old):
+    old = _aside(spark, goal)
+    system.mkdirs(goal.getParent())
+    system.delete(old, True)
+    if system.exists(goal) and not system.rename(goal, old):
         raise OSError(f"can't move {target} aside")
-    if not files.rename(source, goal):
-        files.rename(old, goal)
+    if not system.rename(source, goal):
+        system.rename(old, goal)
         raise OSError(f"can't move {staged} to {target}")
-    files.delete(old, True)
+    system.delete(old, True)
 
 
 def stored_bytes(spark: SparkSession, *paths: str) -> int:

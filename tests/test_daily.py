@@ -1,0 +1,79 @@
+"""Daily marts: states that add up to months, late days, days that lose their rows."""
+
+from datetime import date
+
+import pytest
+
+from conftest import observation
+from lateline.operators.marts import LINE_KEY, STATION_KEY, delays_by_day, mart_monthly_line_perf, mart_monthly_station_perf, monthly_from_days
+from lateline.operators.observations import dedup_latest, enrich
+from lateline.operators.staging import stage_observations, union_sources
+from lateline.plans.daily_run import DAILY_MARTS, STATES, monthly_marts, read_by_day, refresh_days, service_days
+from lateline.plans.monthly_run import ENRICHED, Store
+from lateline.sources.raw import derive_source_month
+
+
+@pytest.fixture
+def enriched(observations):
+    def make(*rows):
+        return enrich(dedup_latest(union_sources(monthly=stage_observations(derive_source_month(observations(*rows))))))
+
+    return make
+
+
+def stop(n, day="10", month="01", **columns):
+    return observation(f"i{month}{day}{n}", planned=f"2026-{month}-{day}T10:00:00", change=f"2026-{month}-{day}T10:{n % 50:02d}:00", train_line_ride_id=f"r{month}{day}{n}", delay_in_min=n % 50, **columns)
+
+
+def rows_of(df):
+    return sorted(map(repr, df.collect()))
+
+
+def same_months(rows, marts):
+    assert rows_of(marts["mart_monthly_station_perf"]) == rows_of(mart_monthly_station_perf(rows))
+    assert rows_of(marts["mart_monthly_line_perf"]) == rows_of(mart_monthly_line_perf(rows))
+
+
+def test_months_are_merged_from_days_exactly(enriched):
+    rows = enriched(*[stop(n, day=f"{1 + n % 28:02d}", is_canceled=(None, False, n % 7 == 0)[n % 3], line_number=(None, "1")[n % 2]) for n in range(120)])
+    for key, mart in ((STATION_KEY, mart_monthly_station_perf), (LINE_KEY, mart_monthly_line_perf)):
+        assert rows_of(monthly_from_days(delays_by_day(rows, key), key)) == rows_of(mart(rows))
+
+
+def test_a_late_day_replaces_only_itself(spark, tmp_path, enriched):
+    store = Store(f"{tmp_path}/s")
+    early = [stop(n, day=d) for n in range(6) for d in ("10", "11", "31")] + [stop(n, month="02", day="01") for n in range(3)]
+    late = [stop(100 + n, day="11") for n in range(4)]
+    unknown = observation("x", train_line_ride_id="x", arrival_change_time=None, departure_change_time=None, time=None)
+
+    def store_rows(*rows):
+        made = enriched(*rows)
+        made.write.mode("overwrite").partitionBy("source_month").parquet(store.table(ENRICHED))
+        return made
+
+    store_rows(*early, unknown)
+    refresh_days(spark, store)
+    files = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("part-*") if "_by_day" in str(p)}
+    others = rows_of(read_by_day(spark, store, "line_delays_by_day").where("service_date <> '2026-01-11' OR service_date IS NULL"))
+    rows = store_rows(*early, unknown, *late)
+    days = service_days(enriched(*late))
+    assert days == [date(2026, 1, 11)]
+    refresh_days(spark, store, days)
+    now = {p: p.stat().st_mtime_ns for p in tmp_path.rglob("part-*") if "_by_day" in str(p)}
+    assert {p for p in files if files[p] != now.get(p)} == {p for p in files if "service_month=2026-01-01" in str(p)}
+    assert rows_of(read_by_day(spark, store, "line_delays_by_day").where("service_date <> '2026-01-11' OR service_date IS NULL")) == others
+    same_months(rows, monthly_marts(spark, store))
+    assert spark.read.parquet(store.table("mart_daily_station_perf")).where("service_date = '2026-01-11'").first().observation_count == 10
+
+    rows = store_rows(*[r for r in early if "0131" not in r["id"]], *late)  # a day and the row of no day go
+    refresh_days(spark, store, [date(2026, 1, 31), None])
+    same_months(rows, monthly_marts(spark, store))
+    stored = spark.read.parquet(store.table("mart_daily_line_perf"))
+    assert {str(r.service_date) for r in stored.collect()} == {"2026-01-10", "2026-01-11", "2026-02-01"}
+
+
+def test_nothing_stored_yet(spark, tmp_path):
+    store = Store(f"{tmp_path}/none")
+    assert all(read_by_day(spark, store, name).collect() == [] for name in STATES)
+    assert all(m.collect() == [] for m in monthly_marts(spark, store).values())
+    assert {name: key for name, key in DAILY_MARTS.values()} == STATES
