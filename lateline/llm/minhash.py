@@ -7,8 +7,7 @@ order the neighbour with the longest common prefix stands next to a text.
 
 Candidates come in three steps, each seeing only what the one before left open:
 
-1. neighbours in the first trees, which link most of a dense region whatever its size (its neighbours agree far deeper
-   than that, so depth follows density);
+1. neighbours in the first trees, which link most of a dense region whatever its size;
 2. neighbours in all other trees that lie in different components so far;
 3. texts of different components in a region. A region that is one component by now has none. In the others longer
    sketches are compared, block by block, and only pairs that these don't rule out go on. This step makes the search
@@ -16,6 +15,9 @@ Candidates come in three steps, each seeing only what the one before left open:
    regions of depth 5 with a probability of 1e-6 (at 0.8, none of 24 of depth 4 with 3e-6), or is ruled out by its
    sketches with one of 3e-6.
 
+The nodes of all this are the different sets, numbered; documents, whatever their ids, are mapped to them and back.
+Depth is the same in all regions: no prefix lengths are computed, and a dense region is opened block by block.
+
 Every candidate is confirmed on the full sets, made again from the texts. Texts move once: those that stand in a region
 with another one are stored by themselves, and the rest are never looked at again.
 """
@@ -45,7 +47,7 @@ MISSED = 1e-5
 SKETCH, DEVIATIONS = 480, 4.5
 #: Texts of a region that are compared with as many others in one task.
 BLOCK = 512
-NO_ID = -(1 << 63)
+NO_ID = (1 << 63) - 1  # a null id counts as the largest
 SEEDS = np.random.default_rng(20_240_501).integers(1, 1 << 63, size=(2, TREES * DEPTH), dtype=np.uint64) | np.uint64(1)
 SKETCH_SEEDS = np.random.default_rng(7_112_023).integers(1, 1 << 63, size=(2, SKETCH), dtype=np.uint64) | np.uint64(1)
 
@@ -97,14 +99,19 @@ def signature(shingles: np.ndarray, seeds: np.ndarray = SEEDS) -> np.ndarray:
     return (least >> np.uint64(32)).astype("<u4")
 
 
+def text_md5(text: Column) -> Column:
+    """What tells rows of one id apart."""
+    return F.md5(F.coalesce(text, F.lit("")).cast("binary"))
+
+
 def profiles(docs: DataFrame, depth: int) -> DataFrame:
-    """Size, identity and tree keys of each document's set: id, n_shingles, set_key, trees (a region and what orders
-    the texts in it, for each tree)."""
+    """Size, identity and tree keys of each row's set: id, text_md5, n_shingles, set_key, trees (a region and what
+    orders the texts in it, for each tree)."""
 
     def profiled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for ident, text in zip(batch["id"], batch["text"].array):
+            for ident, md5, text in zip(batch["id"], batch["text_md5"], batch["text"].array):
                 s = shingle_set(text)
                 if len(s):
                     flat = signature(s, SEEDS[:, : TREES * depth])
@@ -113,12 +120,12 @@ def profiles(docs: DataFrame, depth: int) -> DataFrame:
                     # Below its own values each tree is ordered by the next tree's, the deeper levels of the forest.
                     deeper = np.roll(flat, -depth), np.roll(flat, -depth - 1)
                     rest = [int(v) << 31 | int(w) >> 1 for v, w in zip(deeper[0][::depth], deeper[1][::depth])]
-                    rows.append((ident, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), regions, rest))
+                    rows.append((ident, md5, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), regions, rest))
                 else:
-                    rows.append((ident, 0, None, [], []))
-            yield pd.DataFrame(rows, columns=["id", "n_shingles", "set_key", "regions", "deeper"])
+                    rows.append((ident, md5, 0, None, [], []))
+            yield pd.DataFrame(rows, columns=["id", "text_md5", "n_shingles", "set_key", "regions", "deeper"])
 
-    schema = "id long, n_shingles long, set_key binary, regions array<long>, deeper array<long>"
+    schema = "id long, text_md5 string, n_shingles long, set_key binary, regions array<long>, deeper array<long>"
     return docs.mapInPandas(profiled, schema)
 
 
@@ -242,27 +249,28 @@ def confirmed(pairs: DataFrame, texts: DataFrame, threshold: Threshold) -> DataF
 
 
 def link_documents(docs: DataFrame, *, similarity: float = 0.85) -> DataFrame:
-    """One row for each document: doc_id, n_shingles, component_id, kept, set_id (the smallest id of an equal set).
+    """One row for each row of ``docs``: doc_id, n_shingles, component_id, kept, set_id (the smallest id of an equal
+    set), text_md5, and ``first``: whether the row stands for its component.
 
     Two documents are linked if their sets of word shingles (words lower-cased in A-Z) overlap in at least the share
     ``similarity`` of their union; a component holds all that links reach and is named by its smallest id, whose document is kept.
 
     A null or empty text, or one without words, has an empty set, links with nothing and is kept. A null id counts as
-    the smallest and is returned as null; its component is null too. Rows of the same id and text get the same values;
-    of rows of the same id and different texts each set links for the id as a whole. No documents: no rows. Columns
-    other than ``doc_id`` and ``text`` are not read.
+    the largest and is returned as null; a component without any other has the component null. Rows of the same id are
+    documents of their own: each links by its own text, and so may be in different components. Of the rows of a
+    component the one of the smallest id, then of the smallest hash of its text, is its ``first``, and so is every row
+    of the same id and text. No documents: no rows. Columns other than ``doc_id`` and ``text`` are not read.
     """
     threshold = Threshold.of(similarity)
     scratch = Scratch(docs.sparkSession, "minhash")
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text")
+    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), "text", text_md5(F.col("text")).alias("text_md5"))
     profiled = scratch.keep(profiles(docs, threshold.depth), "profiles")
-    texts = scratch.keep(
-        profiled.where("n_shingles > 0").groupBy("set_key").agg(
-            F.min("id").alias("id"), F.any_value("n_shingles").alias("n_shingles"),
-            F.any_value("regions").alias("regions"), F.any_value("deeper").alias("deeper"),
-        ),
-        "texts",
+    # One node for each set, and the row that stands for it.
+    texts = profiled.where("n_shingles > 0").groupBy("set_key").agg(
+        F.min(F.struct("id", "text_md5")).alias("row"), F.any_value("n_shingles").alias("n_shingles"),
+        F.any_value("regions").alias("regions"), F.any_value("deeper").alias("deeper"),
     )
+    texts = scratch.keep(texts.withColumn("id", F.monotonically_increasing_id()), "texts")
 
     trees = F.posexplode(F.arrays_zip(F.col("regions").alias("region"), F.col("deeper").alias("deeper"))).alias("tree", "place")
     forest = texts.select("id", "n_shingles", trees).select("id", "n_shingles", "tree", "place.region", "place.deeper")
@@ -271,7 +279,9 @@ def link_documents(docs: DataFrame, *, similarity: float = 0.85) -> DataFrame:
     ends = adjacent.where("a <> b").select(F.col("a").alias("id")).union(adjacent.where("a <> b").select("b")).distinct()
     # Regions cut by a partition have an end that may stand beside a text beyond it.
     ends = ends.union(adjacent.where("a = b").select("a")).distinct()
-    stored = scratch.keep(docs.join(ends, "id", "left_semi").dropDuplicates(["id"]), "candidates")
+    wanted = texts.join(ends, "id", "left_semi").select(F.col("id").alias("node"), "row.id", "row.text_md5")
+    stored = docs.join(wanted, ["id", "text_md5"]).select(F.col("node").alias("id"), "text").dropDuplicates(["id"])
+    stored = scratch.keep(stored, "candidates")
 
     def joined(found: DataFrame, pairs: DataFrame, name: str) -> DataFrame:
         pairs = scratch.keep(pairs, f"{name}-pairs")
@@ -294,15 +304,21 @@ def link_documents(docs: DataFrame, *, similarity: float = 0.85) -> DataFrame:
     whole = in_open.join(sketched, "id").join(known, "id", "left").withColumn("component", F.coalesce("component", "id"))
     found = joined(found, across_components(whole, threshold), "across")
 
-    members = texts.select("set_key", F.col("id").alias("set_id"))
-    reached = profiled.select("id", "n_shingles", "set_key").join(members, "set_key", "left").withColumn("set_id", F.coalesce("set_id", "id"))
-    reached = reached.join(found.withColumnRenamed("node", "set_id"), "set_id", "left")
-    reached = reached.withColumn("component", F.coalesce("component", "set_id"))
-    null_if_none = lambda c: F.nullif(c, F.lit(NO_ID))
+    nodes = texts.select("set_key", "row", F.col("id").alias("node")).join(found, "node", "left")
+    nodes = scratch.keep(nodes.withColumn("component", F.coalesce("component", "node")), "nodes")
+    firsts = nodes.groupBy("component").agg(F.min("row").alias("first_row"))
+    sets = scratch.keep(nodes.join(firsts, "component").select("set_key", "row", "first_row"), "sets")
+    # A text without words is a component of its own.
+    own = F.struct("id", "text_md5")
+    reached = profiled.select("id", "text_md5", "n_shingles", "set_key").join(sets, "set_key", "left")
+    reached = reached.withColumns({"row": F.coalesce("row", own), "first_row": F.coalesce("first_row", own)})
+    null_if_none = lambda c: F.nullif(F.col(c), F.lit(NO_ID))
     return reached.select(
-        null_if_none(F.col("id")).alias("doc_id"),
+        null_if_none("id").alias("doc_id"),
         "n_shingles",
-        null_if_none(F.col("component")).alias("component_id"),
-        (F.col("id") == F.col("component")).alias("kept"),
-        null_if_none(F.col("set_id")).alias("set_id"),
+        null_if_none("first_row.id").alias("component_id"),
+        (F.col("id") == F.col("first_row.id")).alias("kept"),
+        null_if_none("row.id").alias("set_id"),
+        "text_md5",
+        (own == F.col("first_row")).alias("first"),
     )
