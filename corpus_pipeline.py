@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lateline.llm.line_templates import drop_recurring_lines
-from lateline.llm.minhash import NO_ID, link_documents
+from lateline.llm.minhash import NO_ID, link_documents, text_md5
 from lateline.llm.mixing import mix_sources
 from lateline.llm.packing import pack_documents
 from lateline.llm.storage import Scratch
@@ -43,11 +43,13 @@ NEAR_COPIES = 0.8
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that of the smallest id; of rows of equal id and text, one."""
-    kept = link_documents(docs, similarity=NEAR_COPIES).where("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("kept_id")).distinct()
+    """One document of each group of near copies, that of the smallest id; of rows of equal id and text, one. Rows of
+    one id and different texts are different documents."""
+    first = link_documents(docs, similarity=NEAR_COPIES).where("first")
+    first = first.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("first_id"), F.col("text_md5").alias("first_md5")).distinct()
     own = F.struct(*[F.col(c) for c in docs.columns]).alias("doc")
-    rows = docs.select(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("kept_id"), F.xxhash64("text").alias("text_hash"))
-    rows = rows.join(kept, "kept_id", "left_semi").dropDuplicates(["kept_id", "text_hash"])
+    rows = docs.select(own, F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("first_id"), text_md5(F.col("text")).alias("first_md5"))
+    rows = rows.join(first, ["first_id", "first_md5"], "left_semi").dropDuplicates(["first_id", "first_md5"])
     return rows.select(*[F.col("doc")[c].alias(c) for c in docs.columns])
 
 
