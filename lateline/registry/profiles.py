@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from lateline import contract
 from lateline.operators import quality
-from lateline.plans import catalog, profiling
+from lateline.plans import catalog, profiling, sketches
 from lateline.plans.profile_run import month_schemas
 from lateline.registry.catalogue import register
 from lateline.registry.shop import Shop
@@ -174,8 +174,10 @@ SIZED = "'data-' || source_month || '.parquet' AS file_name, true AS file_has_si
 
 
 def _file_has_size(report: DataFrame) -> DataFrame:
-    """The size itself depends on the writer; that there is one does not, though small files round to zero."""
-    return report.withColumn("file_has_size", F.col("file_size_mb") >= 0).drop("file_size_mb")
+    """The size itself depends on the writer. That a month has one, of its own file, doesn't; nor that a row takes less
+    than a kilobyte."""
+    fits = F.col("file_size_mb").isNotNull() & (F.col("file_size_mb") * 1024 < F.col("row_count") + 64)
+    return report.withColumn("file_has_size", fits).drop("file_size_mb")
 
 
 register(
@@ -203,6 +205,26 @@ register(
     lambda s: micros(profiling.total_scope_summary(s.filed, exact=True), SPAN),
     SCOPE_SQL,
 )
+def _stored_sketches(s: Shop) -> DataFrame:
+    return s.space.table("month_sketches", lambda: sketches.month_sketches(s.filed))
+
+
+register(
+    "overview_from_sketches",
+    lambda s: _beside_exact(
+        lambda s, exact: micros(profiling.monthly_overview(s.filed, exact=True) if exact else sketches.overview(_stored_sketches(s)), SPAN),
+        ["source_month"], *OVERVIEW_COUNTS,
+    )(s),
+    f"SELECT *, true AS sketch_within_bound FROM ({OVERVIEW_SQL})",
+)
+register(
+    "total_from_sketches",
+    _beside_exact(
+        lambda s, exact: micros(profiling.total_scope_summary(s.filed, exact=True) if exact else sketches.total(_stored_sketches(s)), SPAN),
+        ["row_count", "minimum_time", "maximum_time", "distinct_service_dates"], "approx_distinct_eva", "approx_distinct_rides",
+    ),
+    f"SELECT *, true AS sketch_within_bound FROM ({SCOPE_SQL})",
+)
 CARDINALITY_SQL = "\nUNION ALL ".join(
     f"SELECT source_month, '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count FROM {FILED} GROUP BY source_month"
     for c in profiling.CARDINALITY_COLUMNS
@@ -215,6 +237,14 @@ register(
     ),
     f"SELECT *, true AS sketch_within_bound FROM ({CARDINALITY_SQL})",
 )
+register(
+    "cardinality_from_sketches",
+    _beside_exact(
+        lambda s, exact: profiling.cardinality_profile(s.filed, exact=True) if exact else sketches.cardinalities(_stored_sketches(s)),
+        ["source_month", "column_name"], "approx_distinct_count",
+    ),
+    f"SELECT *, true AS sketch_within_bound FROM ({CARDINALITY_SQL})",
+)
 register(
     "cardinality_profile_exact",
     lambda s: profiling.cardinality_profile(s.filed, exact=True),
