@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import json
+from collections import defaultdict
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,6 +65,41 @@ def read_schemas(spark: SparkSession, paths: Mapping[str, str], at_once: int = 1
         return dict(zip(paths, schemas, strict=True))
 
 
+def file_schemas(spark: SparkSession, files: Iterable[str], at_once: int = 16) -> dict[str, list[str]]:
+    """The files by schema, schemas as JSON. Every footer is read, several at a time; what stays on the driver is one
+    text for each different schema and the files' names."""
+    files, found = list(files), defaultdict(list)
+    with ThreadPoolExecutor(at_once) as pool:
+        for file, schema in zip(files, pool.map(lambda file: scan_nanos_parquet(spark, file).schema.json(), files), strict=True):
+            found[schema].append(file)
+    return dict(found)
+
+
+def data_files(spark: SparkSession, *paths: str) -> list[str]:
+    """All Parquet files below the paths; one of them is opened to find out."""
+    return sorted(scan_nanos_parquet(spark, *paths).inputFiles())
+
+
+DRIFT = "file string, column_name string, drift string, expected string, found string"
+
+
+def schema_drift(spark: SparkSession, schemas: Mapping[str, list[str]], reference: T.StructType = contract.OBSERVATION_SCHEMA) -> DataFrame:
+    """What each file has otherwise than the reference: columns that are ``missing``, ``unexpected``, of another
+    ``type`` or, among those both have, at another ``position`` (from 1). A file without drift has no row."""
+    expected = {f.name: f.dataType.simpleString() for f in reference}
+    rows = []
+    for text, files in schemas.items():
+        schema = T.StructType.fromJson(json.loads(text))
+        found = {f.name: f.dataType.simpleString() for f in schema}
+        drift = [(c, "missing", kind, None) for c, kind in expected.items() if c not in found]
+        drift += [(c, "unexpected", None, kind) for c, kind in found.items() if c not in expected]
+        drift += [(c, "type", kind, found[c]) for c, kind in expected.items() if c in found and found[c] != kind]
+        shared, order = [c for c in expected if c in found], [c for c in found if c in expected]
+        drift += [(c, "position", str(at), str(order.index(c) + 1)) for at, c in enumerate(shared, 1) if order[at - 1] != c]
+        rows += [(file, *d) for file in files for d in drift]
+    return spark.createDataFrame(rows, DRIFT)
+
+
 def schema_rows(spark: SparkSession, schemas: Mapping[str, T.StructType]) -> DataFrame:
     """Schemas as rows. They come from file footers: one small record per column, whatever the files hold."""
     rows = [

@@ -21,6 +21,7 @@ from lateline.operators import quality
 from lateline.operators.marts import Marts
 from lateline.operators.observations import dedup_latest, enrich
 from lateline.operators.staging import stage_observations, union_sources
+from lateline.plans.catalog import data_files, file_schemas
 from lateline.plans.publication import Staged, recover
 from lateline.sources.bronze import (
     bronze_path,
@@ -96,6 +97,15 @@ def gate(spark: SparkSession, store: Store, month: str, path: str | None = None)
     return verdict["passed"], verdict["row_count"]
 
 
+def require_one_schema(spark: SparkSession, source: str, month: str) -> None:
+    """A release of several files must have one schema: Spark reads all of them by the footer of one, so that a column
+    that others lack or type differently would be lost or fail late."""
+    found = file_schemas(spark, data_files(spark, source))
+    if len(found) > 1:
+        groups = "; ".join(sorted(f"{len(files)} files like {files[0]}" for files in found.values()))
+        raise GateFailed(f"{month}: {len(found)} schemas, {groups}")
+
+
 def gate_all(spark: SparkSession, store: Store, months: Iterable[str]) -> bool:
     return all([gate(spark, store, month)[0] for month in months])
 
@@ -244,6 +254,9 @@ def run_months(
     months = expand_months(sources)
     folder, counts, again = staging_folder(store.bronze), {}, []
     try:
+        for month in months:
+            if force or not has_landed(spark, month, store.bronze):
+                require_one_schema(spark, sources[month], month)
         for month in months:
             if force and has_landed(spark, month, store.bronze):
                 again.append(month)

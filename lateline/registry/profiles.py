@@ -512,6 +512,55 @@ register(
 )
 
 
+def _drifting(s: Shop) -> str:
+    """Every month as two files, of odd and of even stops. The second one departs from the contract by the number of
+    its month: another type and place, two columns swapped, one missing and one new, or not at all."""
+
+    def write(root: str) -> None:
+        rows = s.filed.withColumn("file_month", F.col("source_month")).drop("source_month")
+        odd, number = F.col("train_line_station_num") % 2 == 1, F.substring("file_month", 6, 2).cast("int") % 4
+        names = contract.OBSERVATION_COLUMNS
+        swapped = [{"eva": "train_type", "train_type": "eva"}.get(c, c) for c in names]
+        variants = {
+            0: names,
+            1: [*[c for c in names if c != "delay_in_min"], F.col("delay_in_min").cast("bigint").alias("delay_in_min")],
+            2: swapped,
+            3: [*[c for c in names if c != "line_number"], F.lit("x").alias("platform")],
+        }
+        rows.where(odd).select(*names, "file_month").coalesce(1).write.partitionBy("file_month").parquet(root)
+        for n, columns in variants.items():
+            rows.where(~odd & (number == n)).select(*columns, "file_month").coalesce(1).write.mode("append").partitionBy("file_month").parquet(root)
+
+    return s.space.once("drifting", write)
+
+
+def _drift(s: Shop) -> DataFrame:
+    files = catalog.data_files(s.spark, _drifting(s))
+    drift = catalog.schema_drift(s.spark, catalog.file_schemas(s.spark, files))
+    month = F.regexp_extract("file", r"file_month=(\d{4}-\d{2})", 1)
+    return drift.groupBy(month.alias("period"), "column_name", "drift", "expected", "found").agg(F.count("*").alias("files"))
+
+
+AFTER_DELAY = contract.OBSERVATION_COLUMNS[contract.OBSERVATION_COLUMNS.index("delay_in_min") + 1 :]
+DRIFTS = [
+    (1, "delay_in_min", "type", "int", "bigint"),
+    (1, "delay_in_min", "position", str(contract.OBSERVATION_COLUMNS.index("delay_in_min") + 1), "17"),
+    *[(1, c, "position", str(contract.OBSERVATION_COLUMNS.index(c) + 1), str(contract.OBSERVATION_COLUMNS.index(c))) for c in AFTER_DELAY],
+    *[(2, c, "position", str(contract.OBSERVATION_COLUMNS.index(c) + 1), str(contract.OBSERVATION_COLUMNS.index(o) + 1)) for c, o in (("eva", "train_type"), ("train_type", "eva"))],
+    (3, "line_number", "missing", "string", None),
+    (3, "platform", "unexpected", None, "string"),
+]
+register(
+    "schema_drift",
+    _drift,
+    """SELECT file_month AS period, column_name, drift, expected, found, CAST(1 AS BIGINT) AS files
+       FROM (SELECT DISTINCT file_month FROM filed WHERE train_line_station_num % 2 = 0)
+       JOIN (VALUES {}) AS drifts(n, column_name, drift, expected, found)
+         ON CAST(substr(file_month, 6, 2) AS INT) % 4 = n""".format(
+        ", ".join("({}, {})".format(n, ", ".join("NULL" if v is None else f"'{v}'" for v in values)) for n, *values in DRIFTS)
+    ),
+)
+
 JSON_BY_MONTH = """'{' || string_agg('"' || source_month || '":' || %s, ',' ORDER BY source_month) || '}'"""
 register(
     "dataset_catalog",

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 
 from conftest import observation
-from lateline.plans import publication
+from lateline.plans import catalog, publication
 from lateline.plans.monthly_run import ENRICHED, MARTS, STATION_NAMES, TRAIN_LINES, GateFailed, Store, build_layers, gate, run_months
 from lateline.plans.publication import Staged, journal_folder, recover, replay
 from lateline.workspace import files, read_file, write_file
@@ -141,3 +141,19 @@ def test_a_forced_month_that_fails_its_gate_leaves_what_landed(spark, store, tmp
     with pytest.raises(GateFailed):
         run_months(spark, copy, {"2026-01": bad}, force=True)
     assert gate(spark, copy, "2026-01") == rows == (True, 6)
+
+
+def test_files_of_one_month_must_have_one_schema(spark, store, tmp_path):
+    _, again, _ = store
+    mixed = f"{tmp_path}/mixed"
+    shutil.copytree(again, mixed)
+    rows = spark.read.parquet(again)
+    changed = rows.withColumn("delay_in_min", rows["delay_in_min"].cast("bigint")).select(*rows.columns[::-1])
+    changed.write.mode("append").parquet(mixed)
+    with pytest.raises(GateFailed, match="2 schemas"):
+        run_months(spark, Store(f"{tmp_path}/new"), {"2026-01": mixed})
+    assert not Path(f"{tmp_path}/new").exists() or not list(Path(f"{tmp_path}/new").rglob("part-*"))
+    drift = catalog.schema_drift(spark, catalog.file_schemas(spark, catalog.data_files(spark, mixed)))
+    assert {(r.column_name, r.expected, r.found) for r in drift.where("drift = 'type'").collect()} == {("delay_in_min", "int", "bigint")}
+    assert drift.select("file").distinct().count() == len(list(Path(mixed).glob("part-*"))) - len(list(Path(again).glob("part-*")))
+    assert catalog.schema_drift(spark, catalog.file_schemas(spark, catalog.data_files(spark, again))).collect() == []
