@@ -36,14 +36,14 @@ LOOK_ALIKES = {
 READ_SIGN, SKIP_SIGN, SKIP_REPEAT, SEPARATE = 0.7, 2.0, 1.0, 0.3
 LETTERS = 28  # what stands between words, a-z, and all other letters
 ORDER = 4
-REMEMBERED_STRETCH = 64  # longer stretches rarely come again
+REMEMBERED_STRETCH = 64  # longer stretches and words rarely come again
 SEPARATORS = " ._*-"
 SIGNS = re.escape("".join(LOOK_ALIKES))
 #: At least four single characters with one or two separators between them.
 SPACED = r"(?<![^\W_])(?:[^\W_][ ._*\-]{1,2}){3,}[^\W_](?![^\W_])"
 #: A word with signs in it, or with a letter three times in a row, or with two doubled letters in a row.
 SIGNED = rf"(?<!\S)\S*?(?:[^\W\d_][{SIGNS}.*_\-]+[^\W\d_]|[{SIGNS}][^\W\d_]{{2}}|([^\W\d_])\1\1|([^\W\d_])\2([^\W\d_])\3)\S*"
-DISGUISED = re.compile(f"{SPACED}|{SIGNED}")
+RUN, WORD = re.compile(SPACED), re.compile(SIGNED)
 STARTS = range(4, 9)
 RIDGE, STEP = 0.02, 0.5
 
@@ -105,7 +105,11 @@ def without_end(core: str) -> str:
 
 
 class Restorer:
-    """Decodes the disguised stretches of texts; a stretch met before is remembered."""
+    """Decodes the disguised stretches of texts; a stretch met before is remembered.
+
+    A disguised word lies between white space, so it's looked for once in each different word. Only runs of single
+    letters are searched in whole texts.
+    """
 
     def __init__(self, costs: np.ndarray, remembered: int = 50_000):
         self.costs, self.remembered, self.known = costs, remembered, {}
@@ -144,8 +148,7 @@ class Restorer:
             letters.append(letter)
         return "".join(reversed(letters))
 
-    def _restored(self, found: re.Match) -> str:
-        stretch = found.group()
+    def _restored(self, stretch: str) -> str:
         reading = self.known.get(stretch)
         if reading is None:
             core = stretch.strip("".join(c for c in set(stretch) if not c.isalnum() and c not in "@$!|+(€£")) or stretch
@@ -163,8 +166,60 @@ class Restorer:
                 self.known[stretch] = reading
         return reading
 
+    def _word(self, word: str) -> str:
+        return self._restored(word) if WORD.match(word) else word
+
+    def words_of_word(self, word: str) -> list[str]:
+        """What one word between white space, in small letters, is read as; without signs at the edges."""
+        if WORD.match(word):
+            return list(words_of(self._restored(word)).elements())
+        bare = word if word.isalpha() else EDGE.sub("", word)
+        return [bare] if bare else []
+
+    def words(self, text: str) -> Counter:
+        """The words of the restored text, and how often they occur."""
+        text = text.lower()
+        if RUN.search(text):
+            return words_of(self.restore(text))
+        words: Counter = Counter()
+        for word, n in Counter(text.split()).items():
+            for read in self.words_of_word(word):
+                words[read] += n
+        return words
+
     def restore(self, text: str) -> str:
-        return DISGUISED.sub(self._restored, text.lower())
+        """The text with its disguised stretches read: from left to right, and of two that begin together the run."""
+        text, parts, at = text.lower(), [], 0
+
+        def plain(begin: int, end: int) -> None:
+            """Words read one by one; what is left of a word that a run ended in stays."""
+            piece = text[begin:end]
+            if begin and not text[begin - 1].isspace():
+                rest = piece.lstrip() if piece[:1].isspace() else (piece.split(None, 1) + [""])[1] if piece.strip() else ""
+                parts.append(piece[: len(piece) - len(rest)])
+                piece = rest
+            parts.append(re.sub(r"\S+", lambda m: self._word(m.group()), piece))
+
+        run = RUN.search(text)
+        while run:
+            start = run.start()
+            head = start
+            while head > at and not text[head - 1].isspace():
+                head -= 1
+            whole = head == 0 or text[head - 1].isspace()
+            word = WORD.match(text, head) if whole and head < start else None
+            if word:  # a disguised word that begins before the run and holds its beginning
+                plain(at, head)
+                parts.append(self._restored(word.group()))
+                at = word.end()
+            else:
+                plain(at, head)
+                parts.append(text[head:start])
+                parts.append(self._restored(run.group()))
+                at = run.end()
+            run = RUN.search(text, at)
+        plain(at, len(text))
+        return "".join(parts)
 
 
 EDGE = re.compile(r"^[\W\d_]+|[\W\d_]+$")
@@ -194,19 +249,27 @@ class Model:
     def scorer(self):
         restorer, known = Restorer(self.costs), {}
 
-        def features(word: str) -> tuple[str, ...]:
-            found = known.get(word)
-            if found is None:
-                if len(known) >= 100_000:
-                    known.clear()
-                found = known[word] = tuple(f for f in features_of(word) if f in self.weights)
-            return found
+        def features(words: list[str]) -> tuple[str, ...]:
+            return tuple(f for word in words for f in features_of(word) if f in self.weights)
 
         def score(text: str | None) -> float:
+            text = (text or "").lower()
             counts: Counter = Counter()
-            for word, n in words_of(restorer.restore(text or "")).items():
-                for feature in features(word):
-                    counts[feature] += n
+            if RUN.search(text):
+                for word, n in restorer.words(text).items():
+                    for feature in features([word]):
+                        counts[feature] += n
+            else:  # what most texts are: the features of a word as it stands are remembered
+                for word, n in Counter(text.split()).items():
+                    found = known.get(word)
+                    if found is None:
+                        found = features(restorer.words_of_word(word))
+                        if len(word) <= REMEMBERED_STRETCH:
+                            if len(known) >= 100_000:
+                                known.clear()
+                            known[word] = found
+                    for feature in found:
+                        counts[feature] += n
             z = self.bias + sum(self.weights[f] * math.log1p(n) for f, n in counts.items())
             return 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
 
@@ -265,7 +328,7 @@ def train(docs: DataFrame, labels: DataFrame, *, labelled_rows: int = 12_000, le
             rows, size = [], 0
             for doc, text, toxic in zip(batch["doc_id"], batch["text"], batch["toxic"]):
                 counts: Counter = Counter()
-                for word, n in words_of(restorer.restore(text or "")).items():
+                for word, n in restorer.words(text or "").items():
                     for feature in features_of(word):
                         counts[feature] += n
                 rows.append((doc, toxic, list(counts), [math.log1p(n) for n in counts.values()]))
