@@ -1,0 +1,60 @@
+"""Features of a forecast hold nothing that was not known before."""
+
+from datetime import date
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import observation
+from lateline.operators.features import delay_features, trailing
+from lateline.operators.marts import STATION_KEY, delays_by_day
+from lateline.operators.observations import dedup_latest, enrich
+from lateline.operators.staging import stage_observations, union_sources
+from lateline.sources.raw import derive_source_month
+
+
+@pytest.fixture
+def enriched(observations):
+    def make(*rows):
+        return enrich(dedup_latest(union_sources(monthly=stage_observations(derive_source_month(observations(*rows))))))
+
+    return make
+
+
+def stop(ride, number, planned, change=None, **columns):
+    return observation(f"{ride}-{number}", planned=planned, change=change, train_line_ride_id=ride, train_line_station_num=number, **columns)
+
+
+def test_the_stop_before_counts_once_it_is_over(enriched):
+    rows = enriched(
+        stop("a", 1, "2026-01-10T10:00:00", "2026-01-10T10:04:00"),
+        stop("a", 2, "2026-01-10T10:30:00", "2026-01-10T10:50:00"),
+        stop("a", 3, "2026-01-10T10:40:00", "2026-01-10T10:55:00"),  # due before the one before was over
+        stop("b", 1, "2026-01-10T10:00:00", is_canceled=True),
+        stop("b", 2, "2026-01-10T10:30:00", "2026-01-10T10:31:00"),
+    )
+    got = {(r.train_line_ride_id, r.train_line_station_num): r for r in delay_features(rows).collect()}
+    assert {k: (r.stops_before, r.previous_delay_min, r.delay_min) for k, r in got.items()} == {
+        ("a", 1): (0, None, 4), ("a", 2): (1, 4, 20), ("a", 3): (2, None, 15), ("b", 2): (1, None, 1),
+    }
+
+
+def test_trailing_days_leave_out_the_day_itself(enriched):
+    days = {1: 10, 2: 20, 8: 30, 9: 40, 20: 50}
+    rows = enriched(*[stop(f"r{d}", 1, f"2026-01-{d:02d}T10:00:00", f"2026-01-{d:02d}T10:{m:02d}:00") for d, m in days.items()], stop("c", 1, "2026-01-02T09:00:00", is_canceled=True))
+    got = {r.service_date: r for r in trailing(delays_by_day(rows, STATION_KEY), STATION_KEY, "station").collect()}
+    assert {d.day: (r.station_stops, r.station_avg_delay_min, r.station_cancellation_rate) for d, r in got.items()} == {
+        1: (0, None, None), 2: (1, 10.0, 0.0), 8: (3, 15.0, 1 / 3), 9: (3, 25.0, 1 / 3), 20: (0, None, None),
+    }
+
+
+def test_no_row_sees_its_future(enriched):
+    rows = [stop(f"r{n}", n % 3 + 1, f"2026-01-{1 + n // 2:02d}T{8 + n % 3}:00:00", f"2026-01-{1 + n // 2:02d}T{8 + n % 3}:{n % 50:02d}:00") for n in range(40)]
+    cut = date(2026, 1, 12)
+    whole = delay_features(enriched(*rows)).where(F.col("due_date") <= F.lit(cut))
+    known = delay_features(enriched(*[r for r in rows if int(r["id"].split("-")[0][1:]) // 2 + 1 <= cut.day]))
+    assert sorted(map(repr, whole.collect())) == sorted(map(repr, known.collect()))
+
+
+def test_no_stops(enriched):
+    assert delay_features(enriched(stop("a", 1, "2026-01-10T10:00:00")).limit(0)).collect() == []
