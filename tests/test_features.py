@@ -49,7 +49,7 @@ def test_trailing_days_leave_out_the_day_itself(enriched):
 
 
 def test_no_row_sees_its_future(enriched):
-    rows = [stop(f"r{n}", n % 3 + 1, f"2026-01-{1 + n // 2:02d}T{8 + n % 3}:00:00", f"2026-01-{1 + n // 2:02d}T{8 + n % 3}:{n % 50:02d}:00") for n in range(40)]
+    rows = [stop(f"r{n}", n % 3 + 1, f"2026-01-{1 + n // 2:02d}T{8 + n % 3:02d}:00:00", f"2026-01-{1 + n // 2:02d}T{8 + n % 3:02d}:{n % 50:02d}:00") for n in range(40)]
     cut = date(2026, 1, 12)
     whole = delay_features(enriched(*rows)).where(F.col("due_date") <= F.lit(cut))
     known = delay_features(enriched(*[r for r in rows if int(r["id"].split("-")[0][1:]) // 2 + 1 <= cut.day]))
