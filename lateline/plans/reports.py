@@ -57,7 +57,7 @@ def _period(marts: Marts, f: Filters) -> DataFrame:
     return where_all(d, [*equals(d["service_year"], f.year), *equals(d["month_label"], f.month_label)])
 
 
-def _in_period(mart: DataFrame, marts: Marts, f: Filters) -> DataFrame:
+def in_period(mart: DataFrame, marts: Marts, f: Filters) -> DataFrame:
     return mart.join(_period(marts, f).select("service_month"), "service_month")
 
 
@@ -76,7 +76,7 @@ def _named_stations(marts: Marts, f: Filters) -> DataFrame:
     return where_all(d, contains(d["station_name"], f.station)).select("eva", "station_name")
 
 
-def _at_stations(mart: DataFrame, marts: Marts, f: Filters) -> DataFrame:
+def at_stations(mart: DataFrame, marts: Marts, f: Filters) -> DataFrame:
     return mart.join(_named_stations(marts, f), "eva")
 
 
@@ -108,7 +108,7 @@ def _by_month(rows: DataFrame, *names: str) -> DataFrame:
     return rows.groupBy(F.col("service_month").alias("month")).agg(*_measures(*names)).orderBy("month")
 
 
-def _with_volume(rows: DataFrame, key: list[Column], *names: str, ran: bool = True) -> DataFrame:
+def with_volume(rows: DataFrame, key: list[Column], *names: str, ran: bool = True) -> DataFrame:
     """Measures by key for groups above the volume floor, and with at least one stop that ran where asked."""
     grouped = rows.groupBy(*key).agg(
         *_measures(*names), metrics.activity().alias("_observations"), metrics.non_canceled().alias("_ran")
@@ -137,26 +137,26 @@ def kpi_activity(m: Marts, f: Filters) -> DataFrame:
 
 
 def trend_delay(m: Marts, f: Filters) -> DataFrame:
-    return _by_month(_in_period(m.station_perf, m, f), AVERAGE_DELAY)
+    return _by_month(in_period(m.station_perf, m, f), AVERAGE_DELAY)
 
 
 def trend_ontime(m: Marts, f: Filters) -> DataFrame:
-    return _by_month(_in_period(m.station_perf, m, f), ON_TIME)
+    return _by_month(in_period(m.station_perf, m, f), ON_TIME)
 
 
 def trend_cancel(m: Marts, f: Filters) -> DataFrame:
-    return _by_month(_in_period(m.station_perf, m, f), CANCELLATION)
+    return _by_month(in_period(m.station_perf, m, f), CANCELLATION)
 
 
 def worst_stations(m: Marts, f: Filters) -> DataFrame:
-    rows = _in_period(m.station_perf, m, f).join(m.dim_station.select("eva", "station_name"), "eva")
-    ranked = _with_volume(rows, [F.col("station_name"), F.col("eva")], AVERAGE_DELAY, ACTIVITY)
+    rows = in_period(m.station_perf, m, f).join(m.dim_station.select("eva", "station_name"), "eva")
+    ranked = with_volume(rows, [F.col("station_name"), F.col("eva")], AVERAGE_DELAY, ACTIVITY)
     return ranked.orderBy(F.desc_nulls_last(AVERAGE_DELAY), "eva").limit(10)
 
 
 def worst_services(m: Marts, f: Filters) -> DataFrame:
-    ranked = _with_volume(
-        _in_period(m.line_perf, m, f), [F.col("train_type"), F.col("line_number")], AVERAGE_DELAY, ACTIVITY
+    ranked = with_volume(
+        in_period(m.line_perf, m, f), [F.col("train_type"), F.col("line_number")], AVERAGE_DELAY, ACTIVITY
     )
     return (
         ranked.orderBy(F.desc_nulls_last(AVERAGE_DELAY), "train_type", F.asc_nulls_last("line_number"))
@@ -168,17 +168,17 @@ def worst_services(m: Marts, f: Filters) -> DataFrame:
 
 
 def cat_avg_delay(m: Marts, f: Filters) -> DataFrame:
-    ranked = _with_volume(_in_period(m.line_perf, m, f), [F.col("train_type")], AVERAGE_DELAY)
+    ranked = with_volume(in_period(m.line_perf, m, f), [F.col("train_type")], AVERAGE_DELAY)
     return ranked.orderBy(F.desc_nulls_last(AVERAGE_DELAY), "train_type")
 
 
 def cat_cancel(m: Marts, f: Filters) -> DataFrame:
-    ranked = _with_volume(_in_period(m.line_perf, m, f), [F.col("train_type")], CANCELLATION, ran=False)
+    ranked = with_volume(in_period(m.line_perf, m, f), [F.col("train_type")], CANCELLATION, ran=False)
     return ranked.orderBy(F.desc_nulls_last(CANCELLATION), "train_type")
 
 
 def cat_ontime(m: Marts, f: Filters) -> DataFrame:
-    ranked = _with_volume(_in_period(m.line_perf, m, f), [F.col("train_type")], ON_TIME)
+    ranked = with_volume(in_period(m.line_perf, m, f), [F.col("train_type")], ON_TIME)
     return ranked.orderBy(F.asc_nulls_last(ON_TIME), "train_type")
 
 
@@ -201,29 +201,29 @@ def svc_kpi_cancel(m: Marts, f: Filters) -> DataFrame:
 
 def svc_kpi_activity(m: Marts, f: Filters) -> DataFrame:
     """All months the filters allow, not only the last one."""
-    return _of_category(_in_period(m.line_perf, m, f), f).agg(*_measures(ACTIVITY))
+    return _of_category(in_period(m.line_perf, m, f), f).agg(*_measures(ACTIVITY))
 
 
 def _lines(rows: DataFrame, *names: str, ran: bool) -> DataFrame:
-    return _with_volume(rows.where(has_line(F.col("line_number"))), [F.col("line_number")], *names, ran=ran)
+    return with_volume(rows.where(has_line(F.col("line_number"))), [F.col("line_number")], *names, ran=ran)
 
 
 def line_avg_delay(m: Marts, f: Filters) -> DataFrame:
-    ranked = _lines(_of_category(_in_period(m.line_perf, m, f), f), AVERAGE_DELAY, ran=True)
+    ranked = _lines(_of_category(in_period(m.line_perf, m, f), f), AVERAGE_DELAY, ran=True)
     return ranked.orderBy(F.desc_nulls_last(AVERAGE_DELAY), "line_number").limit(15)
 
 
 def line_cancel(m: Marts, f: Filters) -> DataFrame:
     """The category must match exactly here."""
     rows = where_all(m.line_perf, equals(m.line_perf["train_type"], f.category))
-    ranked = _lines(_in_period(rows, m, f), CANCELLATION, ran=False)
+    ranked = _lines(in_period(rows, m, f), CANCELLATION, ran=False)
     return ranked.orderBy(F.desc_nulls_last(CANCELLATION), "line_number").limit(15)
 
 
 def line_details(m: Marts, f: Filters) -> DataFrame:
     """Lines of which nothing ran stay in, with NULL delay and on-time rate, ahead of the others."""
     ranked = _lines(
-        _of_category(_in_period(m.line_perf, m, f), f), AVERAGE_DELAY, ON_TIME, CANCELLATION, ACTIVITY, ran=False
+        _of_category(in_period(m.line_perf, m, f), f), AVERAGE_DELAY, ON_TIME, CANCELLATION, ACTIVITY, ran=False
     )
     return ranked.orderBy(F.desc_nulls_first(AVERAGE_DELAY), "line_number")
 
@@ -235,7 +235,7 @@ def svc_trend_delay(m: Marts, f: Filters) -> DataFrame:
         line_perf, [*equals(line_perf["train_type"], f.category), *contains(line_perf["line_number"], f.line)]
     )
     by_month = (
-        _in_period(rows, m, f)
+        in_period(rows, m, f)
         .groupBy(F.col("service_month").alias("month"))
         .agg(*_measures(AVERAGE_DELAY), metrics.non_canceled().alias("_ran"))
     )
@@ -244,14 +244,14 @@ def svc_trend_delay(m: Marts, f: Filters) -> DataFrame:
 
 def svc_trend_reliability(m: Marts, f: Filters) -> DataFrame:
     rows = where_all(m.line_perf, contains(m.line_perf["line_number"], f.line))
-    return _by_month(_of_category(_in_period(rows, m, f), f), ON_TIME, CANCELLATION)
+    return _by_month(_of_category(in_period(rows, m, f), f), ON_TIME, CANCELLATION)
 
 
 # --- stations -----------------------------------------------------------------------------------------------
 
 
 def _station_kpi(m: Marts, f: Filters) -> DataFrame:
-    return _at_stations(selected_and_previous(m.station_perf, m, f), m, f)
+    return at_stations(selected_and_previous(m.station_perf, m, f), m, f)
 
 
 def s_kpi_avg(m: Marts, f: Filters) -> DataFrame:
@@ -281,7 +281,7 @@ def s_kpi_cancel(m: Marts, f: Filters) -> DataFrame:
 
 def s_kpi_activity(m: Marts, f: Filters) -> DataFrame:
     rows = m.station_perf.where(F.col("service_month") == selected_month(m, f))
-    return _at_stations(rows, m, f).agg(*_measures(ACTIVITY))
+    return at_stations(rows, m, f).agg(*_measures(ACTIVITY))
 
 
 def _station_vs_network(m: Marts, f: Filters, measure: Callable[..., Column]) -> DataFrame:
@@ -290,7 +290,7 @@ def _station_vs_network(m: Marts, f: Filters, measure: Callable[..., Column]) ->
     Months without a row of the station drop out, as they would from a join of the two series.
     """
     named = _named_stations(m, f).select("eva", F.lit(True).alias("at_station"))
-    rows = _in_period(m.station_perf, m, f).join(named, "eva", "left")
+    rows = in_period(m.station_perf, m, f).join(named, "eva", "left")
     here = F.col("at_station")
     return (
         rows.groupBy(F.col("service_month").alias("month"))
@@ -320,7 +320,7 @@ def s_vs_network_cancel(m: Marts, f: Filters) -> DataFrame:
 def s_delay_profile(m: Marts, f: Filters) -> DataFrame:
     """Mart rows as they are: a month cut by the coverage change, or several matching stations, give several rows."""
     return (
-        _at_stations(_in_period(m.station_perf, m, f), m, f)
+        at_stations(in_period(m.station_perf, m, f), m, f)
         .select(F.col("service_month").alias("month"), "avg_delay_min", "median_delay_min", "p90_delay_min")
         .orderBy("month")
     )

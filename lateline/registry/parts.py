@@ -12,7 +12,7 @@ from lateline.functions import observation as obs
 from lateline.plans import reports
 from lateline.plans.reports import Filters
 from lateline.registry.catalogue import register
-from lateline.registry.dashboard import SELECTED, TWO_MONTHS, YEAR_MONTH
+from lateline.registry.dashboard import IN_YEAR, MONTH, SELECTED, TWO_MONTHS, YEAR_MONTH
 from lateline.registry.shop import Shop
 from lateline.registry.sql import CANCELED, DELAY, ON_TIME, VOLUME
 from lateline.registry.tables import rounded
@@ -96,22 +96,23 @@ register(
 )
 register(
     "volume_floor",
-    lambda s: s.marts.line_perf.groupBy("train_type", "line_number")
-    .agg(metrics.activity().alias("activity_volume"), metrics.non_canceled().alias("ran"))
-    .where((F.col("activity_volume") >= 300) & (F.col("ran") > 0)),
-    f"""SELECT m.train_type, m.line_number, {VOLUME} AS activity_volume,
-               CAST(sum(m.non_canceled_observation_count) AS BIGINT) AS ran
-        FROM line_perf m GROUP BY m.train_type, m.line_number
-        HAVING sum(m.observation_count) >= 300 AND sum(m.non_canceled_observation_count) > 0""",
+    lambda s: reports.with_volume(s.marts.line_perf, [F.col("train_type"), F.col("line_number"), F.col("service_month")], reports.ACTIVITY),
+    f"""SELECT m.train_type, m.line_number, m.service_month, {VOLUME} AS activity_volume
+        FROM line_perf m GROUP BY m.train_type, m.line_number, m.service_month
+        HAVING sum(m.observation_count) >= 30 AND sum(m.non_canceled_observation_count) > 0""",
 )
 register(
     "join_station_names",
-    lambda s: s.marts.station_perf.join(s.marts.dim_station, "eva").select(
-        *STATION_GRAIN, "station_name", "observation_count"
-    ),
+    lambda s: reports.at_stations(s.marts.station_perf, s.marts, Filters()).select(*STATION_GRAIN, "station_name", "observation_count"),
     """SELECT m.eva, m.service_month, m.station_coverage_era, s.station_name, m.observation_count
        FROM station_perf m JOIN dim_station s ON m.eva = s.eva""",
 )
+register(
+    "rows_in_period",
+    lambda s: reports.in_period(s.marts.line_perf, s.marts, YEAR_MONTH).select("train_type", "line_number", "service_month", "observation_count"),
+    f"""SELECT m.train_type, m.line_number, m.service_month, m.observation_count FROM line_perf m
+        JOIN dim_service_month d ON m.service_month = d.service_month WHERE {IN_YEAR} AND d.month_label = '{MONTH}'""",
+)
 register(
     "join_month_labels",
     lambda s: s.marts.line_perf.join(s.marts.dim_service_month, "service_month").select(
