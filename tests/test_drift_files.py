@@ -1,0 +1,19 @@
+"""The files that the query on drifting schemas looks at: one for each month and half, by a task of its own."""
+
+from pathlib import Path
+
+from pyspark.sql import functions as F
+
+from lateline.registry import profiles
+from lateline.registry.shop import Shop
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+def test_no_task_writes_all_months(spark, tmp_path):
+    shop = Shop(spark, SF_DIR)
+    files = [f for f in Path(profiles._drifting(shop).removeprefix("file:")).rglob("part-*.parquet")]
+    tasks = {f.name.split("-")[1] for f in files}
+    months = shop.filed.select("source_month", (F.col("train_line_station_num") % 2).alias("half")).distinct().count()
+    assert len(files) == months
+    assert len(tasks) > 40
