@@ -188,14 +188,20 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     keys = texts.select("id", "text_hash", F.floor(F.length("text") / 3).cast("int").alias("third")).distinct()
     links = scratch.keep(next_documents(keys, scratch), "links")
 
-    def edited_texts(links: DataFrame) -> DataFrame:
+    def edited_texts(links: DataFrame, own_texts: DataFrame) -> DataFrame:
         """The edited texts of the documents that the links begin at."""
         heads = texts.join(links, key).select(*own, F.expr("substring(text, 1, third)").alias("head")).groupBy(*own).agg(F.any_value("head").alias("head"))
         rest = F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 3) AS int))")
-        joined = texts.join(heads, (F.col("id") == F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
+        joined = own_texts.join(heads, (F.col("id") == F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
         edited = joined.select(*key, F.length("text").cast("long").alias("n_chars"), F.concat(rest, "head").alias("edited"))
         return edited.withColumn("edited_sha256", F.sha2("edited", 256))
 
+    def edited_again(some: DataFrame) -> DataFrame:
+        """Of some documents only. Their links are stored, as only a table's own size tells Spark that it is small, and
+        texts that aren't theirs go before a shuffle."""
+        few = scratch.keep(links.join(some.toDF(*own), own, "left_semi"), "edited-links")
+        return edited_texts(few, texts.join(some, key, "left_semi"))
+
     def prints(of: Callable[[DataFrame | None], DataFrame], text: str, *measures: str) -> DataFrame:
         """Anchors of all texts; those that the cut left too few of are made again from their whole texts."""
         first = scratch.keep(collect_anchors(of(None), key, text, *measures), text)
@@ -206,8 +212,7 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         return first.where("NOT lacking").union(again)
 
     owns = prints(lambda some: texts if some is None else texts.join(some, key, "left_semi"), "text")
-    lacking_links = lambda some: links.join(some.toDF(*own), own, "left_semi")
-    edits = prints(lambda some: edited_texts(links if some is None else lacking_links(some)), "edited", "edited_sha256", "n_chars")
+    edits = prints(lambda some: edited_texts(links, texts) if some is None else edited_again(some), "edited", "edited_sha256", "n_chars")
 
     following = owns.select(*key, F.col("anchors").alias("next_anchors")).join(links.select(*own, *key), key).select(*own, "next_anchors")
     near = (

@@ -70,3 +70,20 @@ def test_texts_of_few_different_runs_are_gone_through_again(spark):
     assert whole.join(expression, "doc_id").where("anchors <> wanted").count() == 0
     got = {r.doc_id: r.fingerprint for r in syncmers.fingerprint_documents(documents(spark, rows)).collect()}
     assert got == {r[0]: written(anchors(r[1])) for r in rows}
+
+
+def test_only_the_texts_gone_through_again_meet_their_links(spark, monkeypatch):
+    """The links of the few are a stored table of their size, and the texts are cut to the few by a semi join."""
+    kept, keep = {}, syncmers.Scratch.keep
+
+    def noted(self, table, name, *partition_by):
+        kept[name] = keep(self, table, name, *partition_by)
+        kept[f"{name} plan"] = table._jdf.queryExecution().optimizedPlan().toString()
+        return kept[name]
+
+    monkeypatch.setattr(syncmers.Scratch, "keep", noted)
+    rows = [(n, "ab cd " * 400 + str(n) + "z" * n, "en", "a", 1) for n in range(6)] + [(n, f"{n} plain", "en", "a", 1) for n in range(10, 40)]
+    syncmers.fingerprint_documents(documents(spark, rows)).collect()
+    few = kept["edited-lacking"].count()
+    assert 0 < few < len(rows) and kept["edited-links"].count() == few
+    assert kept["edited-whole plan"].count("Join LeftSemi") == 1
