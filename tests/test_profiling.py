@@ -204,6 +204,28 @@ def test_delay_profile_without_delays(observations):
     assert [got["02"][c] for c in ("average_delay_min", "stddev_delay_min", percentiles)] == [3.0, None, [3] * 8]
 
 
+def test_exact_counts_send_no_row_several_times(spark, profiled):
+    reports = [profiling.monthly_overview, profiling.total_scope_summary, profiling.cardinality_profile]
+    for report in reports:
+        plan = report(profiled, exact=True)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Expand" not in plan and "collect_set" not in plan, report.__name__
+    lost = profiled.withColumn("source_month", F.when(F.col("source_month") == "2026-01", "2026-01"))
+    lost = lost.withColumn("eva", F.when(F.col("source_month").isNotNull() & (F.col("eva") != "2"), F.col("eva")))
+    rows = lost.collect()
+    overview = {r.source_month: r for r in profiling.monthly_overview(lost, exact=True).collect()}
+    assert set(overview) == {None, "2026-01"}
+    for month, found in overview.items():
+        own = [r for r in rows if r.source_month == month]
+        assert (found.row_count, found.canceled_rows) == (len(own), sum(r.is_canceled is True for r in own))
+        assert found.distinct_eva == len({r.eva for r in own} - {None})
+        assert found.distinct_rides == len({r.train_line_ride_id for r in own})
+        assert found.distinct_train_numbers == len({r.train_number for r in own})
+        assert found.distinct_service_dates == len({r.time // 86_400_000_000_000 for r in own if r.time is not None})
+    empty = profiling.total_scope_summary(profiled.limit(0), exact=True).collect()
+    assert [tuple(r) for r in empty] == [(0, None, None, 0, 0, 0)]
+    assert profiling.monthly_overview(profiled.limit(0), exact=True).count() == 0
+
+
 def test_sketches_stay_near_the_exact_counts(profiled):
     exact = rows_by(profiling.cardinality_profile(profiled, exact=True), "source_month", "column_name")
     for key, row in rows_by(profiling.cardinality_profile(profiled), "source_month", "column_name").items():
