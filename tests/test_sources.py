@@ -191,6 +191,30 @@ def test_backfill_equals_single_runs(spark, tmp_path, observations):
         monthly_run.backfill(observations(*rows), F.lit("2026-03"), Store(str(tmp_path / "wrong")))
 
 
+def test_backfill_shuffles_rows_once_and_stops_without_made_columns(spark, tmp_path, observations, monkeypatch):
+    rows = [r for m in ("2026-01", "2026-02") for r in month_rows(m, 6)]
+    plans, replace, write = {}, raw.replace_months, monthly_run.Staged.write
+    explained = lambda df: df._jdf.queryExecution().optimizedPlan().toString()
+
+    def replaced(table, by, root, *, many):
+        plans["raw"] = "RebalancePartitions" if many else explained(table)
+        replace(table, by, root, many=many)
+
+    def written(self, model, name, *args, **options):
+        plans[name] = explained(model)
+        return write(self, model, name, *args, **options)
+
+    monkeypatch.setattr(raw, "replace_months", replaced)
+    monkeypatch.setattr(monthly_run.Staged, "write", written)
+    store = Store(str(tmp_path / "store"))
+    own = raw.month_of(raw.decode_ns_truncated(F.col("time")))
+    monthly_run.backfill(observations(*rows), own, store)
+    assert "RebalancePartitions" not in plans["raw"]
+    stops = plans[monthly_run.ENRICHED]
+    assert stops.index("service_hour") < stops.index("RebalancePartitions") < stops.index("Window")
+    assert sorted(r.id for r in raw.read_raw(spark, store.raw).collect()) == sorted(r["id"] for r in rows)
+
+
 def test_sinks(spark, tmp_path):
     report = spark.createDataFrame([("a", [1, 2], 3.5), ("b", None, None)], "k string, v array<int>, d double")
     sinks.export_reports({"r": report}, str(tmp_path))
