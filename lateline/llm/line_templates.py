@@ -40,10 +40,11 @@ def masked(line: Column) -> Column:
 
 def line_keys(docs: DataFrame, depth: int, min_tokens: int) -> DataFrame:
     """A row for each line of enough tokens: its document, position, leaf (hashed) and masked text."""
-    lines = docs.select(
-        "doc_id", F.xxhash64("text").alias("text_hash"), F.posexplode(F.split("text", "\n", -1)).alias("position", "line")
-    )
-    lines = lines.select("doc_id", "text_hash", "position", masked(F.col("line")).alias("template"))
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    lines = texts.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n", -1)).alias("position", "line"))
+    # An array of one, exploded: the conditions below stay above it. As a plain column the line would be masked again for
+    # each place that uses it; likewise a text is hashed before its lines are taken apart, not line by line.
+    lines = lines.select("doc_id", "text_hash", "position", F.explode(F.array(masked(F.col("line")))).alias("template"))
     tokens = F.length("template") - F.length(F.replace("template", F.lit(" "), F.lit(""))) + 1
     # Blank lines separate paragraphs, and one or two variable tokens say nothing in common.
     bare = F.col("template").isin("", VARIABLE, f"{VARIABLE} {VARIABLE}")

@@ -83,6 +83,14 @@ def test_repeats(spark):
     assert got[None, 5] == (0, "a text without an id") and got[None, 0] == (0, "")
 
 
+def test_lines_are_masked_and_texts_hashed_once(spark):
+    keys = line_templates.line_keys(documents(spark, [(1, "a b 1\nc d e f\n", "en", "a", 14)]).select("doc_id", "text"), 3, 3)
+    plan = keys._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1 and plan.count("split(") == 1
+    assert plan.index("posexplode(") < plan.index("AS text_hash")  # below it
+    assert [(r.doc_id, r.position, r.template) for r in keys.collect()] == [(1, 0, "a b <*>"), (1, 1, "c d e f")]
+
+
 def test_line_templates(spark):
     rows = [(n, f"head {n} of page now\nown line number of {'abc'[n % 3]} {n}\nstable tail of all pages", "en", "a", 1) for n in range(12)]
     docs = documents(spark, [*rows, *rows[:1], (50, None, None, None, None), (51, "", "en", "a", 0), (None, rows[0][1], "en", "a", 1)])
