@@ -134,11 +134,15 @@ def likeness(one: Column, other: Column) -> Column:
         def among(hashes: Column) -> Column:
             """Both fingerprints hold all hashes of their texts up to the limit, and the least ``ANCHORS`` of their union."""
             total = F.least(F.size(hashes), F.greatest(F.lit(ANCHORS), F.size(F.filter(hashes, lambda h: h <= LIMIT))))
-            last = F.get(hashes, total - 1)
+            return bound(total, lambda n: bound(F.get(hashes, n - 1), lambda last: met(n, last)))
+
+        def met(total: Column, last: Column) -> Column:
+            """What a lambda uses is bound outside of it; an expression inside would be computed again for each anchor."""
             following = lambda i: F.get(both, i + 1)
-            met = F.transform(both, lambda a, i: F.when((a["hash"] <= last) & (a["hash"] == following(i)["hash"]), a["position"] - following(i)["position"]))
-            shifts = F.sort_array(F.filter(met, lambda s: s.isNotNull()))
-            alike = bound(shifts, lambda s: F.size(F.filter(s, lambda x: F.abs(x - F.get(s, F.shiftright(F.size(s), 1))) <= DRIFT)))
+            moved = F.transform(both, lambda a, i: F.when((a["hash"] <= last) & (a["hash"] == following(i)["hash"]), a["position"] - following(i)["position"]))
+            shifts = F.sort_array(F.filter(moved, lambda s: s.isNotNull()))
+            middle = lambda s: F.get(s, F.shiftright(F.size(s), 1))
+            alike = bound(shifts, lambda s: bound(middle(s), lambda m: F.size(F.filter(s, lambda x: F.abs(x - m) <= DRIFT))))
             return alike / F.greatest(total, F.lit(1))
 
         return bound(F.array_distinct(F.transform(both, lambda a: a["hash"])), among)
@@ -220,15 +224,12 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
         .join(owns.select(*key, "anchors"), key)
         .join(following.toDF(*key, "next_anchors"), key)
     )
-    prints_of = scratch.keep(
-        near.select(
-            *key, "n_chars", "edited_sha256",
-            as_text(F.col("anchors")).alias("fingerprint"),
-            as_text(F.col("edited_anchors")).alias("edited_fingerprint"),
-            likeness(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"),
-            likeness(F.col("anchors"), F.col("next_anchors")).alias("near_next"),
-        ),
-        "prints",
+    prints_of = near.select(
+        *key, "n_chars", "edited_sha256",
+        as_text(F.col("anchors")).alias("fingerprint"),
+        as_text(F.col("edited_anchors")).alias("edited_fingerprint"),
+        likeness(F.col("anchors"), F.col("edited_anchors")).alias("near_edited"),
+        likeness(F.col("anchors"), F.col("next_anchors")).alias("near_next"),
     )
-    # A row for each row of the documents; rows of equal id and text share one.
+    # A row for each row of the documents; rows of equal id and text share one. Only keys are shuffled for it.
     return texts.select(*key).join(prints_of, key).select(F.nullif("id", F.lit(NO_ID)).alias("doc_id"), *prints_of.columns[2:])

@@ -1,5 +1,9 @@
 """Fingerprints and likeness of whole tables against plain Python, with the same hash from another library."""
 
+import time
+from pathlib import Path
+
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 import xxhash
@@ -7,6 +11,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from lateline.llm import syncmers
+from lateline.llm.storage import REMOVE_SHUFFLES, Scratch
 from lateline.llm.syncmers import ANCHORS, DRIFT, LIMIT, POSITION_BITS
 from llm.cases import documents
 
@@ -87,3 +92,32 @@ def test_only_the_texts_gone_through_again_meet_their_links(spark, monkeypatch):
     few = kept["edited-lacking"].count()
     assert 0 < few < len(rows) and kept["edited-links"].count() == few
     assert kept["edited-whole plan"].count("Join LeftSemi") == 1
+
+
+def shuffle_files(spark):
+    dirs = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    return {f for d in dirs for f in Path(d).rglob("shuffle_*")}
+
+
+def test_stored_tables_leave_no_shuffle_files(spark):
+    before, setting = shuffle_files(spark), spark.conf.get(REMOVE_SHUFFLES, None)
+    wide = spark.range(20_000).withColumn("x", F.sha2(F.col("id").cast("string"), 256))
+    stored = Scratch(spark, "test").keep(wide.join(wide.groupBy("x").count().hint("merge"), "x"), "joined")
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before and stored.count() == 20_000
+    assert spark.conf.get(REMOVE_SHUFFLES, None) == setting
+
+
+def test_likeness_finds_its_last_hash_once(spark):
+    """What is the same for all anchors of a pair isn't computed for each of them."""
+    rng = np.random.default_rng(3)
+    hashes = np.unique(rng.integers(-(1 << 39), LIMIT + 1, 5_000))
+    one = [(int(h) << POSITION_BITS) + i // 9 for i, h in enumerate(hashes) if i % 3]
+    other = [(int(h) << POSITION_BITS) + i // 9 + 2 * (i % 7) for i, h in enumerate(hashes) if i % 4]
+    like = syncmers.likeness(F.col("one"), F.col("other"))
+    got = spark.createDataFrame([(one, other), ([], other), (one[:1], one[1:2])], "one array<bigint>, other array<bigint>").select(like).collect()
+    split = lambda found: [(a >> POSITION_BITS, a & (1 << POSITION_BITS) - 1) for a in found]
+    assert [r[0] for r in got] == [pytest.approx(likeness(split(one), split(other)), abs=1e-12), 0, 0]
+    assert str(like).count(str(LIMIT)) == 1
