@@ -29,6 +29,7 @@ import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 from fractions import Fraction
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lateline.llm.components import merged
-from lateline.llm.repeats import BASE, mixed, word_list
+from lateline.llm.repeats import BASE, mixed
 from lateline.llm.storage import Scratch
 
 SHINGLE = 5
@@ -45,8 +46,10 @@ TREES, DEPTH, FIRST_TREES = 24, 5, 3
 MISSED = 1e-5
 #: Hash functions of a sketch, one byte each, and how many standard deviations below the threshold still count.
 SKETCH, DEVIATIONS = 480, 4.5
-#: Texts of a region that are compared with as many others in one task.
-BLOCK = 512
+#: Texts of a region that are compared with as many others in one task, and pairs looked at together.
+BLOCK, PAIRS = 512, 8_192
+#: Shingles hashed together: their values stay in a core's cache.
+CACHED = 128
 NO_ID = (1 << 63) - 1  # a null id counts as the largest
 SEEDS = np.random.default_rng(20_240_501).integers(1, 1 << 63, size=(2, TREES * DEPTH), dtype=np.uint64) | np.uint64(1)
 SKETCH_SEEDS = np.random.default_rng(7_112_023).integers(1, 1 << 63, size=(2, SKETCH), dtype=np.uint64) | np.uint64(1)
@@ -76,7 +79,8 @@ class Threshold:
 
 def shingle_set(text: str | None) -> np.ndarray:
     """Sorted hashes of the distinct shingles: of five words, or of the whole sequence if there are fewer."""
-    words = word_list(text.translate(LOWER)) if isinstance(text, str) else []
+    # Lower-casing bytes changes A-Z only, and leaves those of longer characters alone.
+    words = text.encode("utf-8", "surrogatepass").lower().split() if isinstance(text, str) else []
     if not words:
         return np.zeros(0, dtype=np.uint64)
     h = mixed(pd.util.hash_array(np.array(words, dtype=object), categorize=False))
@@ -87,15 +91,14 @@ def shingle_set(text: str | None) -> np.ndarray:
     return np.unique(mixed(total))
 
 
-LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
-
-
 def signature(shingles: np.ndarray, seeds: np.ndarray = SEEDS) -> np.ndarray:
     """The least value of each hash function over a set that isn't empty, its upper 32 bits."""
     least = np.full(seeds.shape[1], np.iinfo(np.uint64).max, dtype=np.uint64)
-    for begin in range(0, len(shingles), 1_024):
-        part = shingles[begin : begin + 1_024]
-        np.minimum(least, ((part[:, None] ^ seeds[0]) * seeds[1]).min(axis=0), out=least)
+    values = np.empty((min(len(shingles), CACHED), seeds.shape[1]), dtype=np.uint64)
+    for begin in range(0, len(shingles), CACHED):
+        part = shingles[begin : begin + CACHED]
+        now = np.bitwise_xor(part[:, None], seeds[0], out=values[: len(part)])
+        np.minimum(least, np.multiply(now, seeds[1], out=now).min(axis=0), out=least)
     return (least >> np.uint64(32)).astype("<u4")
 
 
@@ -116,10 +119,11 @@ def profiles(docs: DataFrame, depth: int) -> DataFrame:
                 if len(s):
                     flat = signature(s, SEEDS[:, : TREES * depth])
                     values = flat.reshape(TREES, depth)
-                    regions = [int.from_bytes(hashlib.blake2b(v.tobytes(), digest_size=8, salt=bytes([t])).digest(), "little", signed=True) for t, v in enumerate(values)]
+                    digests = [hashlib.blake2b(v.tobytes(), digest_size=8, salt=bytes([t])).digest() for t, v in enumerate(values)]
+                    regions = np.frombuffer(b"".join(digests), dtype="<i8")
                     # Below its own values each tree is ordered by the next tree's, the deeper levels of the forest.
-                    deeper = np.roll(flat, -depth), np.roll(flat, -depth - 1)
-                    rest = [int(v) << 31 | int(w) >> 1 for v, w in zip(deeper[0][::depth], deeper[1][::depth])]
+                    deeper = [np.roll(flat, -depth - k)[::depth].astype(np.int64) for k in (0, 1)]
+                    rest = deeper[0] << 31 | deeper[1] >> 1
                     rows.append((ident, md5, len(s), hashlib.blake2b(s.tobytes(), digest_size=16).digest(), regions, rest))
                 else:
                     rows.append((ident, md5, 0, None, [], []))
@@ -201,24 +205,55 @@ def across_components(members: DataFrame, threshold: Threshold) -> DataFrame:
         "tree", "id", "component", "n_shingles", "regions", "sketch",
     )
 
-    def compared(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids, component, size = (pdf[c].to_numpy() for c in ("id", "component", "n_shingles"))
-        sketch = np.frombuffer(b"".join(pdf["sketch"]), dtype=np.uint8).reshape(len(pdf), SKETCH)
-        regions, tree = np.stack(pdf["regions"].to_numpy()), pdf["tree"].iloc[0]
-        alone, second = pdf["alone"].to_numpy(), pdf["second"].to_numpy()
-        found = []
-        others = np.arange(len(pdf))
-        for i in range(len(pdf)):
-            with_ = others[i + 1 :] if alone[i] else others[second & ~alone] if not second[i] else others[:0]
-            near = threshold.under * np.minimum(size[with_], size[i]) >= threshold.over * np.maximum(size[with_], size[i])
-            fit = (component[with_] != component[i]) & near
-            with_ = with_[fit]
-            with_ = with_[(regions[with_] == regions[i]).argmax(axis=1) == tree]
-            with_ = with_[(sketch[with_] == sketch[i]).sum(axis=1) >= threshold.agree]
-            found.append(np.stack([np.maximum(ids[with_], ids[i]), np.minimum(ids[with_], ids[i])], axis=1))
-        return pd.DataFrame(np.concatenate(found), columns=["a", "b"])
-
-    return dealt.groupBy("meeting").applyInPandas(compared, "a long, b long").distinct()
+    def looked_at(rows: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        """Pairs of whole meetings, small meetings together."""
+        if not len(rows):
+            return
+        ids, tree, component, size = (rows[c].to_numpy() for c in ("id", "tree", "component", "n_shingles"))
+        sketch = np.frombuffer(b"".join(rows["sketch"]), dtype=np.uint8).reshape(len(rows), SKETCH)
+        regions, meeting = np.stack(rows["regions"].to_numpy()), rows["meeting"].to_numpy()
+        alone, second = rows["alone"].to_numpy(), rows["second"].to_numpy()
+
+        def left(one: np.ndarray, other: np.ndarray) -> Iterator[pd.DataFrame]:
+            for begin in range(0, len(one), PAIRS):
+                a, b = one[begin : begin + PAIRS], other[begin : begin + PAIRS]
+                here = (regions[a] == regions[b]).argmax(axis=1) == tree[a]
+                a, b = a[here], b[here]
+                alike = (sketch[a] == sketch[b]).sum(axis=1) >= threshold.agree
+                a, b = ids[a[alike]], ids[b[alike]]
+                yield pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)})
+
+        waiting, n = [], 0
+        for begin, end in pairwise(np.flatnonzero(np.concatenate([[True], meeting[1:] != meeting[:-1], [True]]))):
+            if alone[begin]:
+                a, b = np.triu_indices(end - begin, 1)
+            else:
+                latter = np.flatnonzero(second[begin:end])
+                former = np.flatnonzero(~second[begin:end])
+                a, b = np.repeat(former, len(latter)), np.tile(latter, len(former))
+            a, b = a + begin, b + begin
+            near = threshold.under * np.minimum(size[a], size[b]) >= threshold.over * np.maximum(size[a], size[b])
+            fit = (component[a] != component[b]) & near
+            waiting.append((a[fit], b[fit]))
+            n += len(waiting[-1][0])
+            if n >= PAIRS:
+                yield from left(*map(np.concatenate, zip(*waiting)))
+                waiting, n = [], 0
+        if n:
+            yield from left(*map(np.concatenate, zip(*waiting)))
+
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None  # the last meeting of a batch may go on in the next one
+        for batch in batches:
+            if len(batch):
+                batch = batch if held is None else pd.concat([held, batch], ignore_index=True)
+                last = int(np.searchsorted(batch["meeting"].to_numpy(), batch["meeting"].iloc[-1]))
+                yield from looked_at(batch.iloc[:last])
+                held = batch.iloc[last:]
+        if held is not None:
+            yield from looked_at(held)
+
+    return dealt.repartition("meeting").sortWithinPartitions("meeting").mapInPandas(compared, "a long, b long").distinct()
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, threshold: Threshold) -> DataFrame:
