@@ -4,6 +4,8 @@ import time
 from pathlib import Path
 
 from lateline.registry import adapter
+from lateline.registry.shop import Shop
+from lateline.registry.tables import _late_days
 from lateline.workspace import REMOVE_SHUFFLES, Workspace
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -33,3 +35,14 @@ def test_joins_of_order_lines_shuffle_narrow_rows(spark):
     below = plan[plan.index(joins[3]) + 1 :]
     sent = next(line for line in below if "Project" in line)  # of an order line, to its first join
     assert "AS is_canceled" in sent and "AS delay_in_min" in sent
+
+
+def test_late_days_write_only_their_months(spark):
+    shop = Shop(spark, "/root/testdata/sf0.01")
+    shop.space = Workspace(spark, "late-days")
+    _late_days(shop)
+    folders = Path(shop.space.path("daily").removeprefix("file:")).glob("*observations_enriched*/source_month=*")
+    runs = {f.name.removeprefix("source_month="): {p.name.split("-", 2)[2][:36] for p in f.glob("part-*")} for f in folders}
+    assert all(len(r) == 1 for r in runs.values()) and len(set.union(*runs.values())) == 2
+    first = runs["1995-01"]
+    assert {m for m, r in runs.items() if r != first} <= {"1997-02", "1997-03"}
