@@ -17,3 +17,8 @@ def test_no_task_writes_all_months(spark, tmp_path):
     months = shop.filed.select("source_month", (F.col("train_line_station_num") % 2).alias("half")).distinct().count()
     assert len(files) == months
     assert len(tasks) > 40
+
+
+def test_files_of_another_run_are_replaced(spark):
+    files = [len(list(Path(profiles._drifting(Shop(spark, SF_DIR)).removeprefix("file:")).rglob("part-*.parquet"))) for _ in range(2)]
+    assert files[0] == files[1] > 0
